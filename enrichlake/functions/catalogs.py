@@ -10,32 +10,59 @@ from __future__ import annotations
 SCHEMA_VERSION = "1.0"
 
 # --- triage -----------------------------------------------------------------
-# Phrases that decide a page's crawl issue.
+# Phrases that decide a page's crawl issue, with the texts and
+# first characters that every match has.
 PARKED = (
+    ("domain", "godaddy", "sedo.com", "afternic", "namecheap", "purchase"),
+    "tbdgsani",
     r"\b(this domain is for sale|buy this domain|domain parking|godaddy|sedo\.com|afternic"
-    r"|namecheap parking|is available for purchase)\b"
+    r"|namecheap parking|is available for purchase)\b",
 )
 UNDER_CONSTRUCTION = (
+    ("coming soon", "maintenance", "under construction", "launching soon", "being built", "deploy your"),
+    "csultd",
     r"\b(coming soon|site under maintenance|under construction|launching soon"
-    r"|this site is (?:currently )?being built|deploy your files)\b"
+    r"|this site is (?:currently )?being built|deploy your files)\b",
 )
 BOT_CHALLENGE = (
+    ("verify you", "attention required", "your browser", "cloudflare", "access denied", "blocked by", "a robot", "captcha"),
+    "vacb",
     r"\b(verify you are human|attention required|checking your browser|cloudflare|access denied"
-    r"|blocked by an extension|are you a robot|captcha)\b"
+    r"|blocked by an extension|are you a robot|captcha)\b",
 )
 LOGIN_REQUIRED = (
+    ("sign in to", "please log", "subscribers", "paywall"),
+    "spt",
     r"\b(sign in to continue|please log in to view|subscribers only"
-    r"|this content is for subscribers|paywall)\b"
+    r"|this content is for subscribers|paywall)\b",
+)
+COOKIE_BANNER = (
+    ("cookie", "gdpr consent"),
+    "wacg",
+    r"\b(we use cookies|accept all cookies|cookie (?:policy|consent)|gdpr consent)\b",
+)
+LOTTERY = (
+    ("draw results", "winning numbers", "lottery", "jackpot"),
+    "dwlj",
+    r"\b(draw results|winning numbers|lottery|jackpot)\b",
+)
+LISTING = (
+    ("top", "best", "review"),
+    "tr0-9",
+    r"\b(top\s+\d+\b|\d+\s+(?:best|top)\b|reviews?\s*[:•]?\s*\d(?:\.\d)?\s*/\s*5)\b",
 )
-COOKIE_BANNER = r"\b(we use cookies|accept all cookies|cookie (?:policy|consent)|gdpr consent)\b"
-LOTTERY = r"\b(draw results|winning numbers|lottery|jackpot)\b"
-LISTING = r"\b(top\s+\d+\b|\d+\s+(?:best|top)\b|reviews?\s*[:•]?\s*\d(?:\.\d)?\s*/\s*5)\b"
 RATING = r"\d(?:\.\d)?\s*(?:/\s*5|★|stars?)\b"
-LISTICLE = r"\b(top\s+\d+|best\s+\d+|\d+\s+(?:ways|tips|reasons|things|steps)|how\s+to|ultimate guide)\b"
+LISTICLE = (
+    ("top", "best", "ways", "tips", "reasons", "things", "steps", "how", "ultimate guide"),
+    "tbhu0-9",
+    r"\b(top\s+\d+|best\s+\d+|\d+\s+(?:ways|tips|reasons|things|steps)|how\s+to|ultimate guide)\b",
+)
 PARAGRAPH_SUBJECT = r"^([A-Z][a-zA-Z]+(?:\s+[A-Z][a-zA-Z]+)+)\b"
 TEMPLATE_TEXT = (
+    ("lorem ipsum", "welcome to", "first post", "hello world", "john doe", "jane smith", "jesse n", "frankie b"),
+    "lwthjf",
     r"\b(?:lorem ipsum|welcome to wordpress|this is your first post|hello world"
-    r"|john doe|jane smith|jesse n\.?|frankie b\.?)\b"
+    r"|john doe|jane smith|jesse n\.?|frankie b\.?)\b",
 )
 EMPTY_PROSE_WORDS = 15
 THIN_PROSE_WORDS = 120
@@ -47,6 +74,7 @@ REPEATED_SUBJECTS = 3
 MARKDOWN_LINK = r"\[([^\]]*)\]\((https?://[^\s)]+)\)"
 BARE_URL = r"https?://[^\s)\]}>\"']+"
 PRICE = r"(?:[$€£¥]|USD|EUR|GBP)\s?\d[\d,.]*"
+PRICE_TEXTS = ("$", "€", "£", "¥", "USD", "EUR", "GBP")
 FOOTER_LINES = 25
 SECTION_CHARS = 4000
 PRICING_TITLES = ("pricing", "plans")
@@ -88,14 +116,14 @@ LANGUAGES = {
     "korean": "ko", "arabic": "ar",
 }
 
-# Pricing.
+# Pricing; hints with texts and first characters of each match.
 CURRENCY_SYMBOLS = {"$": "USD", "€": "EUR", "£": "GBP", "¥": "JPY"}
 PRICE_POINTS = 20
 BILLING_HINTS = {
-    "FREEMIUM": r"\bfree (?:plan|forever|tier)\b|freemium",
-    "USAGE": r"per (?:seat|user|api call|request|credit|unit)|usage[- ]based|pay as you go",
-    "PERPETUAL": r"one[- ]time (?:payment|fee)|lifetime license|perpetual license",
-    "SUBSCRIPTION": r"/\s?(?:mo|month|year|yr)\b|monthly|annually|per month|per year",
+    "FREEMIUM": (("free",), "f", r"\bfree (?:plan|forever|tier)\b|freemium"),
+    "USAGE": (("per ", "usage", "pay as"), "pu", r"per (?:seat|user|api call|request|credit|unit)|usage[- ]based|pay as you go"),
+    "PERPETUAL": (("one-time", "one time", "lifetime", "perpetual"), "opl", r"one[- ]time (?:payment|fee)|lifetime license|perpetual license"),
+    "SUBSCRIPTION": (("/", "monthly", "annually", "per month", "per year"), "/map", r"/\s?(?:mo|month|year|yr)\b|monthly|annually|per month|per year"),
 }
 
 # Careers section and role lines.
@@ -250,22 +278,22 @@ FUND_ROLES = (
     ("SCOUT", None, ("scout", "venture scout")),
 )
 
-# Wording that scores a business model.
+# Wording that scores a business model, with texts and first characters of each match.
 PRICING_WORDING = {
-    "FREEMIUM": r"\bfree (?:plan|forever|tier)\b|freemium",
-    "USAGE": r"pay as you go|usage[- ]based|per (?:seat|api call|credit)",
-    "PERPETUAL": r"one[- ]time payment|perpetual license",
-    "SUBSCRIPTION": r"/\s?(?:mo|month|year)\b|subscription",
+    "FREEMIUM": (("free",), "f", r"\bfree (?:plan|forever|tier)\b|freemium"),
+    "USAGE": (("pay as", "usage", "per "), "pu", r"pay as you go|usage[- ]based|per (?:seat|api call|credit)"),
+    "PERPETUAL": (("one-time", "one time", "perpetual"), "op", r"one[- ]time payment|perpetual license"),
+    "SUBSCRIPTION": (("/", "subscription"), "/s", r"/\s?(?:mo|month|year)\b|subscription"),
 }
 OFFERING_WORDING = {
-    "MARKETPLACE": r"\bmarketplace\b|buyers and sellers",
-    "HARDWARE": r"\bhardware\b|\bdevices?\b|ships? to your",
-    "DATA": r"\bdatasets?\b|\bapi (?:access|credits)\b|data provider",
-    "SERVICES": r"\bconsulting\b|\bmanaged service\b|\bprofessional services\b",
-    "SAAS": r"\bsaas\b|\bsoftware\b|\bplatform\b|\bcloud[- ]based\b",
+    "MARKETPLACE": (("marketplace", "buyers and"), "mb", r"\bmarketplace\b|buyers and sellers"),
+    "HARDWARE": (("hardware", "device", "ship"), "hds", r"\bhardware\b|\bdevices?\b|ships? to your"),
+    "DATA": (("dataset", "api ", "data provider"), "da", r"\bdatasets?\b|\bapi (?:access|credits)\b|data provider"),
+    "SERVICES": (("consulting", "service"), "cmp", r"\bconsulting\b|\bmanaged service\b|\bprofessional services\b"),
+    "SAAS": (("saas", "software", "platform", "cloud"), "spc", r"\bsaas\b|\bsoftware\b|\bplatform\b|\bcloud[- ]based\b"),
 }
-SELF_SERVE_WORDING = r"\bsign up free\b|\bstart free trial\b|\bself[- ]serve\b"
-SALES_LED_WORDING = r"\bcontact sales\b|\bbook a demo\b|\btalk to sales\b|\brequest a demo\b"
+SELF_SERVE_WORDING = (("sign up", "free trial", "serve"), "s", r"\bsign up free\b|\bstart free trial\b|\bself[- ]serve\b")
+SALES_LED_WORDING = (("sales", "demo"), "cbtr", r"\bcontact sales\b|\bbook a demo\b|\btalk to sales\b|\brequest a demo\b")
 DELIVERY_LABELS = ("SELF_SERVE", "SALES_LED", "HYBRID")
 
 # Wording that names a parent company, in the order tried.

@@ -48,9 +48,15 @@ class FieldJob:
 
 
 def _md() -> Column:
+    """Text of a usable page, NULL for others."""
     return F.col("_md")
 
 
+def _low() -> Column:
+    """The same in lower case."""
+    return F.col("_low")
+
+
 def _if_found(value: Column, label: str) -> Column:
     return F.when(value, F.lit(label))
 
@@ -111,20 +117,26 @@ def legal_entity_extract() -> FieldResult:
 
 def company_description_extract() -> FieldResult:
     override = t.blank_to_null(t.strip(F.col("company_description")))
+    words = cat.DESCRIPTION_MIN_WORDS - 1
     prose = F.filter(
-        F.transform(t.paragraphs(_md()), lambda p: t.strip(p)), lambda p: (p != "") & ~F.startswith(p, F.lit("#"))
-    )
-    cleaned = F.transform(
-        prose,
-        lambda p: t.strip(
-            F.regexp_replace(
-                F.regexp_replace(F.regexp_replace(p, "[*_`]", ""), t.rx(r"^\s*[-*]\s*"), ""), t.rx(r"\s+"), " "
-            )
-        ),
+        F.transform(t.paragraphs(_md()), lambda p: t.strip(p)),
+        # Cleaning never adds words, so shorter paragraphs are out already.
+        lambda p: ~F.startswith(p, F.lit("#")) & t.matches(p, t.rx(rf"\A(?:\S++\s++){{{words}}}\S")),
     )
-    # Six words are five separators between words.
-    long_enough = F.filter(cleaned, lambda p: t.matches(p, rf"^(?:[^ ]+ ){{{cat.DESCRIPTION_MIN_WORDS - 1}}}[^ ]"))
-    value = F.substring(F.coalesce(override, t.first_or_null(long_enough)), 1, cat.DESCRIPTION_MAX_CHARS)
+
+    def cleaned(p: Column) -> Column:
+        plain = F.regexp_replace(F.regexp_replace(p, "[*_`]", ""), t.rx(r"^\s*[-*]\s*"), "")
+        return t.strip(F.regexp_replace(plain, t.rx(r"\s+"), " "))
+
+    def long_enough(p: Column) -> Column:
+        return t.matches(p, rf"\A(?:[^ ]++ ){{{words}}}[^ ]")
+
+    def pick(ps: Column) -> Column:
+        # The first paragraph nearly always does; the others are cleaned only if it does not.
+        first = t.let(cleaned(t.first_or_null(ps)), lambda c: F.when(long_enough(c), c))
+        return F.coalesce(first, t.first_or_null(F.filter(F.transform(ps, cleaned), long_enough)))
+
+    value = F.substring(F.coalesce(override, t.let(prose, pick)), 1, cat.DESCRIPTION_MAX_CHARS)
     source = F.when(override.isNotNull(), "context").when(
         F.col("company_description_extract").isNotNull(), "markdown"
     )
@@ -133,25 +145,28 @@ def company_description_extract() -> FieldResult:
 
 def site_locale_detect() -> FieldResult:
     names = "|".join(t.literal(n) for n in cat.LANGUAGES)
-    hits = t.extract_all(_md(), t.rx(rf"\b(?:{names})\b|\([A-Za-z]{{2}}\)", ignore_case=True))
+    hits = F.when(
+        t.holds_any(_low(), ("(", *cat.LANGUAGES)),
+        t.extract_all(_low(), t.ahead("".join(sorted({n[0] for n in cat.LANGUAGES})) + "(", rf"\b(?:{names})\b|\([a-z]{{2}}\)")),
+    ).otherwise(F.array().cast("array<string>"))
     codes = dict(cat.LANGUAGES) | {f"({c})": c for c in cat.LANGUAGES.values()}
     lookup = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
     value = F.array_distinct(
-        F.filter(F.transform(hits, lambda h: F.try_element_at(lookup, F.lower(h))), lambda c: c.isNotNull())
+        F.filter(F.transform(hits, lambda h: F.try_element_at(lookup, h)), lambda c: c.isNotNull())
     )
     return FieldResult(value, _if_found(_non_empty(F.col("site_locale_detect")), "markdown"))
 
 
 def pricing_locale_extract() -> FieldResult:
-    has_price = t.matches(_md(), t.rx(cat.PRICE))
+    has_price = t.holds_any(_md(), cat.PRICE_TEXTS) & t.matches(_md(), t.rx(cat.PRICE))
     part = F.col("_pricing_text")
     prices = t.extract_all(part, t.rx(cat.PRICE))
     symbols = F.create_map(*[F.lit(x) for pair in cat.CURRENCY_SYMBOLS.items() for x in pair])
     first = t.first_or_null(prices)
     currency = F.coalesce(F.try_element_at(symbols, F.substring(first, 1, 1)), F.substring(first, 1, 3))
     hint = None
-    for label, pattern in cat.BILLING_HINTS.items():
-        test = t.matches(part, t.rx(pattern, ignore_case=True))
+    for label, wording in cat.BILLING_HINTS.items():
+        test = t.says(F.col("_pricing_low"), wording)
         hint = F.when(test, label) if hint is None else hint.when(test, label)
     value = F.when(
         _non_empty(prices),
@@ -166,7 +181,7 @@ def pricing_locale_extract() -> FieldResult:
     return FieldResult(
         value,
         _if_found(F.col("pricing_locale_extract").isNotNull(), "markdown"),
-        extra={"_pricing_text": text},
+        extra={"_pricing_text": text, "_pricing_low": F.lower(text)},
     )
 
 
@@ -177,7 +192,7 @@ def careers_page_parse() -> FieldResult:
 
 
 def tech_stack_normalize() -> FieldResult:
-    mentioned = with_category(dictionary_codes(_md(), cat.TECHNOLOGIES), cat.TECHNOLOGIES)
+    mentioned = with_category(dictionary_codes(_low(), cat.TECHNOLOGIES, lowered=True), cat.TECHNOLOGIES)
     detected = detected_stack(F.col("detected_tools"))
     both = F.struct(detected.alias("detected_stack"), mentioned.alias("mentioned_technologies"))
     value = t.let(
@@ -207,18 +222,18 @@ def detected_stack(tools: Column) -> Column:
     return t.keep_first_by(F.filter(entries, lambda e: e["tool_id"] != ""), lambda e: e["tool_id"])
 
 
-def _scored(text: Column, wording: dict[str, str]) -> Column:
+def _scored(text: Column, wordings: dict[str, t.Wording]) -> Column:
     """Labels ranked by hits; the runner-up counts when at most one hit behind."""
     ranked = F.array_sort(
         F.filter(
             F.array(
                 *[
                     F.struct(
-                        (-t.count_matches(text, t.rx(pattern))).alias("minus_hits"),
+                        (-t.count_says(text, wording)).alias("minus_hits"),
                         F.lit(i).alias("ord"),
                         F.lit(label).alias("label"),
                     )
-                    for i, (label, pattern) in enumerate(wording.items())
+                    for i, (label, wording) in enumerate(wordings.items())
                 ]
             ),
             lambda s: s["minus_hits"] < 0,
@@ -236,14 +251,14 @@ def _scored(text: Column, wording: dict[str, str]) -> Column:
 
 
 def business_model() -> FieldResult:
-    text = F.lower(_md())
+    text = _low()
     hint = F.col("pricing_locale_extract.billing_model_hint")
     nothing = F.lit(None).cast("string")
     pricing = F.when(
         hint.isNotNull(), F.struct(hint.alias("primary"), nothing.alias("secondary"))
     ).otherwise(_scored(text, cat.PRICING_WORDING))
-    self_serve = t.matches(text, t.rx(cat.SELF_SERVE_WORDING))
-    sales_led = t.matches(text, t.rx(cat.SALES_LED_WORDING))
+    self_serve = t.says(text, cat.SELF_SERVE_WORDING)
+    sales_led = t.says(text, cat.SALES_LED_WORDING)
     delivery = (
         F.when(self_serve & sales_led, "HYBRID").when(self_serve, "SELF_SERVE").when(sales_led, "SALES_LED")
     )
@@ -262,12 +277,14 @@ def company_entity_resolve() -> FieldResult:
     domain = F.col("domain_normalize")
     name = F.coalesce(t.blank_to_null(F.col("company_name")), F.col("legal_entity_extract.legal_name"))
     given = t.blank_to_null(F.col("parent_guess"))
-    read = None
-    for wording in cat.PARENT_WORDING:
-        hit = F.regexp_replace(
-            t.strip(F.regexp_extract(_md(), t.rx(wording + r"([A-Z][\w&, \-]*)"), 1)), ",+$", ""
+    # "of " opens the name in every wording; the plain test spares most pages the three scans.
+    names = [
+        t.blank_to_null(
+            F.regexp_replace(t.strip(F.regexp_extract(_md(), t.rx(wording + r"([A-Z][\w&, \-]*)"), 1)), ",+$", "")
         )
-        read = t.blank_to_null(hit) if read is None else F.coalesce(read, t.blank_to_null(hit))
+        for wording in cat.PARENT_WORDING
+    ]
+    read = F.when(F.contains(_md(), F.lit("subsidiary of ")) | F.contains(_md(), F.lit("part of ")), F.coalesce(*names))
     parent = F.coalesce(given, F.col("_parent_read"))
     source = F.when(given.isNotNull(), "context").when(F.col("_parent_read").isNotNull(), "markdown")
     value = F.when(
@@ -302,15 +319,26 @@ def iso_date(raw: Column) -> Column:
         part(named, 3) != "",
         F.concat_ws("-", part(named, 3), F.lpad(month_no.cast("string"), 2, "0"), F.lpad(part(named, 2), 2, "0")),
     )
-    return F.date_format(F.try_to_date(F.coalesce(t.blank_to_null(iso), slash, worded), "yyyy-MM-dd"), "yyyy-MM-dd")
+    # Impossible months and days are sorted out before the parser, which is slow to refuse them.
+    plausible = r"\A\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])\z"
+    return t.let(
+        F.coalesce(t.blank_to_null(iso), slash, worded),
+        lambda d: F.when(
+            t.matches(d, plausible), F.date_format(F.try_to_date(d, "yyyy-MM-dd"), "yyyy-MM-dd")
+        ),
+    )
 
 
 def date_normalize() -> FieldResult:
     given = iso_date(F.col("raw_date"))
     # Cheap test first: every listed shape holds a four-digit run.
     scanned = F.when(
-        t.matches(_md(), r"\d{4}"),
-        F.concat(*[t.extract_all(_md(), t.rx(p)) for p in (cat.ISO_DATE, cat.SLASH_DATE, cat.MONTH_NAME_DATE)]),
+        t.matches(_md(), "[0-9]{4}"),
+        F.concat(
+            t.extract_all(_md(), t.ahead("0-9", cat.ISO_DATE)),
+            t.extract_all(_md(), t.ahead("0-9", cat.SLASH_DATE)),
+            t.extract_all(_md(), t.ahead("".join(sorted({m[0] for m in cat.MONTHS})), cat.MONTH_NAME_DATE)),
+        ),
     ).otherwise(F.array().cast("array<string>"))
     dates = F.array_distinct(
         F.array_compact(F.concat(F.array(given), F.transform(scanned, iso_date)))
@@ -326,7 +354,7 @@ def date_normalize() -> FieldResult:
 
 
 def compliance_framework_extract() -> FieldResult:
-    value = dictionary_codes(_md(), cat.COMPLIANCE)
+    value = dictionary_codes(_low(), cat.COMPLIANCE, lowered=True)
     return FieldResult(value, _if_found(_non_empty(F.col("compliance_framework_extract")), "markdown"))
 
 
@@ -335,7 +363,7 @@ def experience_signal_extract() -> FieldResult:
         return F.coalesce(*[F.regexp_extract(_md(), t.rx(p), 1).try_cast("int") for p in patterns])
 
     explicit = first_int([w + r"(\d{4})" for w in cat.FOUNDED_WORDING])
-    duration = first_int(cat.DURATION_WORDING)
+    duration = F.when(F.contains(_md(), F.lit("year")), first_int(cat.DURATION_WORDING))
     this_year = F.coalesce(F.col("current_year"), F.year(F.current_date()))
     stated, lasting = F.col("_founded"), F.col("_duration")
     value = F.when(
@@ -357,15 +385,19 @@ def service_region_extract() -> FieldResult:
     abbreviations = sorted(cat.US_STATES.values())
     states = F.array(*[F.lit(s) for s in abbreviations])
     city_state = F.filter(
-        t.extract_all(_md(), t.rx(cat.CITY_STATE)), lambda p: F.array_contains(states, F.right(p, F.lit(2)))
+        t.extract_all(_md(), t.ahead("A-Z", cat.CITY_STATE)), lambda p: F.array_contains(states, F.right(p, F.lit(2)))
     )
     names = "|".join(t.literal(n).replace(r"\s+", " ") for n in cat.US_STATES)
+    initials = "".join(sorted({n[0] for n in cat.US_STATES}))
+    # Two capitals that stand alone, kept when they are a state.
+    pairs = t.extract_all(_md(), r"[A-Z]{2}(?<![A-Za-z]..)(?![A-Za-z])")
+    nothing = F.array().cast("array<string>")
     places = F.concat(
-        t.extract_all(_md(), t.rx(cat.IN_CITY_COUNTRY), 1),
+        t.extract_all(_md(), t.ahead("i", cat.IN_CITY_COUNTRY), 1),
         city_state,
-        t.extract_all(_md(), t.rx(cat.REMOTE_REGION)),
-        t.extract_all(_md(), t.rx(rf"\b(?:{names})\b")),
-        t.extract_all(_md(), t.rx(rf"(?<![A-Za-z])(?:{'|'.join(abbreviations)})(?![A-Za-z])")),
+        F.when(F.contains(_md(), F.lit("Remote")), t.extract_all(_md(), t.rx(cat.REMOTE_REGION))).otherwise(nothing),
+        t.extract_all(_md(), t.ahead(initials, rf"\b(?:{names})\b")),
+        F.filter(pairs, lambda p: F.array_contains(states, p)),
     )
     value = F.array_distinct(F.filter(F.transform(places, lambda p: t.strip(p)), lambda p: p != ""))
     return FieldResult(value, _if_found(_non_empty(F.col("service_region_extract")), "markdown"))
@@ -473,6 +505,8 @@ def extract_fields(
     """
     usable = F.lit(True) if usable is None else usable
     out = with_context(pages).withColumn("_md", F.when(usable, F.coalesce(F.col("markdown"), F.lit(""))))
+    out = out.withColumn("_low", F.lower("_md"))
+    given = [c for c in out.columns if c not in ("_md", "_low")]
     for stage in _stages(jobs):
         results = [(job, job.build()) for job in stage]
         # Values, then what is derived from them; private helper columns come first.
@@ -490,7 +524,8 @@ def extract_fields(
             out = out.withColumns(derived)
         if helpers:
             out = out.drop(*helpers)
-    return out.drop("_md")
+    made = [c for c in out.columns if c not in (*given, "_md", "_low")]
+    return out.select(*given, *[t.evaluated(F.col(c)).alias(c) for c in made])
 
 
 def is_empty(c: Column, dtype: T.DataType) -> Column:

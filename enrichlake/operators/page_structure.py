@@ -141,12 +141,13 @@ def _layers(catalog: CatalogRows) -> list[dict[str, str]]:
     return layers
 
 
-def dictionary_codes(text: Column, catalog: CatalogRows) -> Column:
+def dictionary_codes(text: Column, catalog: CatalogRows, lowered: bool = False) -> Column:
     """Codes whose alias occurs as whole words, in catalog order.
 
     One look-ahead scan tests all aliases at each word start, instead of one
-    scan of the text per code.
+    scan of the text per code. `lowered` says that the text is in lower case already.
     """
+    text = text if lowered else F.lower(text)
     found = F.array().cast("array<string>")
     for layer in _layers(catalog):
         by_letter: dict[str, list[str]] = {}
@@ -157,9 +158,9 @@ def dictionary_codes(text: Column, catalog: CatalogRows) -> Column:
             t.literal(letter) + "(?:" + "|".join(t.literal(a[1:]) for a in aliases) + ")"
             for letter, aliases in by_letter.items()
         )
-        hits = t.extract_all(text, t.rx(rf"\b(?=({branches})\b)", ignore_case=True), 1)
+        hits = t.extract_all(text, t.ahead("".join(by_letter), rf"\b(?=({branches})\b)"), 1)
         lookup = F.create_map(*[F.lit(x) for pair in layer.items() for x in pair])
-        keys = F.array_distinct(F.transform(hits, lambda h: F.lower(F.regexp_replace(h, r"(?U)\s+", " "))))
+        keys = F.array_distinct(F.transform(hits, lambda h: F.regexp_replace(h, r"(?U)\s+", " ")))
         found = F.concat(found, F.transform(keys, lambda k: F.try_element_at(lookup, k)))
     order = F.array(*[F.lit(code) for code, _, _ in catalog])
     return F.array_intersect(order, found)

@@ -59,6 +59,16 @@ def top_k(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], k: int
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Rebalance a scan that yields fewer tasks than there are cores.
+
+    Text work costs far more than moving the text once. A table of many files has
+    more splits than cores, and then this does nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.rdd().getNumPartitions() < cores else df
+
+
 def spread_nulls(key: Column, row_id: Column) -> Column:
     """Join key in which every NULL becomes a value of its own.
 

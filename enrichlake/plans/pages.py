@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import PAGE_CONTRACTS
 from ..functions import catalogs as cat
+from ..functions import text as t
 from ..operators import quality
 from ..operators.drift import drift_flags, history_key
 from ..operators.page_fields import PAGE_JOBS, FieldJob, extract_fields
@@ -54,8 +55,10 @@ def gate_pages(
             "run_timestamp": F.current_timestamp() if run_timestamp is None else run_timestamp,
         }
     ).drop("triage_reasons", *[f"{f}_src" for f in reported])
-    return out.withColumn("markdown", F.coalesce("markdown", F.lit(""))).withColumnRenamed(
-        "markdown", "raw_markdown_input"
+    made = ["function_report", "rejection_reasons", "quality_score", "is_valid_row"]
+    return out.select(
+        *[t.evaluated(F.col(c)).alias(c) if c in made else c for c in out.columns if c != "markdown"],
+        F.coalesce("markdown", F.lit("")).alias("raw_markdown_input"),
     )
 
 

@@ -14,6 +14,8 @@ DEFAULTS = {
     # Page text is wide; smaller splits keep a task's rows well inside memory.
     "spark.sql.files.maxPartitionBytes": "64m",
     "spark.ui.enabled": "false",
+    # Stack capture per column expression makes building large plans several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

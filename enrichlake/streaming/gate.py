@@ -11,23 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.pages import gate_pages, observations
-from ..sources.writers import append_dead_letter, append_quality_history
+from ..sources.writers import dead_letters
 
 
 def gate_stream(pages: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Gate a streaming page table into `out/rows`, `out/history` and `out/dead_letter`.
 
-    Each micro-batch writes its rows to a folder of its own first and serves the
-    other sinks from there, so that a page is extracted once, and a batch that is
-    run again replaces its own rows.
+    Each micro-batch writes its rows first and serves the other sinks from there,
+    so a page is extracted once. Every sink has one folder per batch, which a batch
+    that is run again replaces.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target = f"{out}/rows/batch_id={batch_id}"
-        gate_pages(batch).write.mode("overwrite").parquet(target)
-        rows = batch.sparkSession.read.parquet(target)
-        append_quality_history(observations(rows, "page_id"), f"{out}/history")
-        append_dead_letter(rows, f"{out}/dead_letter")
+        def folder(sink: str) -> str:
+            return f"{out}/{sink}/batch_id={batch_id}"
+
+        gate_pages(batch).write.mode("overwrite").parquet(folder("rows"))
+        rows = batch.sparkSession.read.parquet(folder("rows"))
+        observations(rows, "page_id").drop("_field").write.mode("overwrite").parquet(folder("history"))
+        dead_letters(rows, "page").write.mode("overwrite").json(folder("dead_letter"))
 
     writer = pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
