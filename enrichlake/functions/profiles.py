@@ -84,7 +84,7 @@ def hiring_signal(open_roles: Column, growth_pct: Column) -> Column:
 def company_type(raw: Column) -> Column:
     """Exact spelling, after trimming and lower-casing, to a code."""
     codes = [(alias, code) for code, aliases in cat.COMPANY_TYPES.items() for alias in aliases]
-    lookup = F.create_map(*[F.lit(x) for pair in codes for x in pair])
+    lookup = t.text_map(codes)
     return F.try_element_at(lookup, F.regexp_replace(F.lower(t.strip(raw)), r"(?U)\s+", " "))
 
 
@@ -188,7 +188,7 @@ def year_month(raw: Column) -> Column:
     iso_year, iso_month = (F.regexp_extract(text, r"^(\d{4})-(\d{1,2})\z", g) for g in (1, 2))
     only_year = F.regexp_extract(text, r"^(\d{4})\z", 1)
     word, word_year = (F.regexp_extract(text, r"(?U)^([a-z]{3,9})\.?\s+(\d{4})\z", g) for g in (1, 2))
-    months = F.array(*[F.lit(m[:3].lower()) for m in cat.MONTHS])
+    months = t.text_array(m[:3].lower() for m in cat.MONTHS)
     month_no = F.nullif(F.array_position(months, F.substring(word, 1, 3)), F.lit(0)).cast("int")
 
     def pair(year: Column, month: Column) -> Column:

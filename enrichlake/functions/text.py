@@ -74,6 +74,22 @@ def literal(phrase: str) -> str:
     return "".join(out)
 
 
+def _quoted(value: str | None) -> str:
+    if value is None:
+        return "null"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def text_array(values) -> Column:
+    """Literal ARRAY<STRING>, built in one call however long it is."""
+    return F.expr("array(" + ", ".join(_quoted(v) for v in values) + ")")
+
+
+def text_map(pairs) -> Column:
+    """Literal MAP<STRING, STRING> of (key, value) pairs."""
+    return F.expr("map(" + ", ".join(f"{_quoted(k)}, cast({_quoted(v)} as string)" for k, v in pairs) + ")")
+
+
 def strip(c: Column, extra: str = "") -> Column:
     return F.btrim(c, F.lit(WHITESPACE + extra))
 

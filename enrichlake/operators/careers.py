@@ -70,7 +70,7 @@ def loose_roles(section: Column) -> Column:
             ).alias("parts"),
         ),
     )
-    departments = F.array(*[F.lit(d) for d in cat.DEPARTMENTS])
+    departments = t.text_array(cat.DEPARTMENTS)
 
     def role(p: Column) -> Column:
         others = F.slice(p["parts"], 2, F.greatest(F.size(p["parts"]), F.lit(1)))

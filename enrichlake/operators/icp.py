@@ -90,7 +90,7 @@ def icp_violations(spec: Column, industries: Sequence[str] | None = None) -> Col
     if industries is not None:
         vocabularies.insert(0, ("industries", tuple(industries), "industry"))
     for name, allowed, label in vocabularies:
-        unknown = F.array_sort(F.array_except(strings(name), F.array(*[F.lit(a) for a in allowed])))
+        unknown = F.array_sort(F.array_except(strings(name), t.text_array(allowed)))
         checks.append(
             F.when(F.size(unknown) > 0, F.concat(F.lit(f"{name}: not in the {label} enum: "), listed(unknown)))
         )
@@ -159,7 +159,7 @@ def similar_to(text: Column, phrases: Sequence[str], threshold: float = SIMILARI
     for phrase in phrases:
         wanted = sorted({w for w in "".join(ch if ch.isalnum() else " " for ch in phrase.lower()).split()})
         if wanted:
-            shared = F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in wanted])))
+            shared = F.size(F.array_intersect(words, t.text_array(wanted)))
             hit = hit | (shared >= threshold * len(wanted))
     return F.coalesce(hit, F.lit(False))
 

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +48,16 @@ class FieldJob:
     # Jobs that only cross-check others carry no value of their own.
     reported: bool = True
 
+    def result(self) -> FieldResult:
+        """The job's expressions. They name columns and belong to no DataFrame, so a
+        stream builds them once and not per micro-batch."""
+        return _built(self.build, id(SparkContext._gateway))
+
+
+@lru_cache(maxsize=256)
+def _built(build: Callable[[], FieldResult], gateway: int) -> FieldResult:
+    return build()
+
 
 def _md() -> Column:
     """Text of a usable page, NULL for others."""
@@ -150,7 +162,7 @@ def site_locale_detect() -> FieldResult:
         t.extract_all(_low(), t.ahead("".join(sorted({n[0] for n in cat.LANGUAGES})) + "(", rf"\b(?:{names})\b|\([a-z]{{2}}\)")),
     ).otherwise(F.array().cast("array<string>"))
     codes = dict(cat.LANGUAGES) | {f"({c})": c for c in cat.LANGUAGES.values()}
-    lookup = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+    lookup = t.text_map(codes.items())
     value = F.array_distinct(
         F.filter(F.transform(hits, lambda h: F.try_element_at(lookup, h)), lambda c: c.isNotNull())
     )
@@ -161,7 +173,7 @@ def pricing_locale_extract() -> FieldResult:
     has_price = t.holds_any(_md(), cat.PRICE_TEXTS) & t.matches(_md(), t.rx(cat.PRICE))
     part = F.col("_pricing_text")
     prices = t.extract_all(part, t.rx(cat.PRICE))
-    symbols = F.create_map(*[F.lit(x) for pair in cat.CURRENCY_SYMBOLS.items() for x in pair])
+    symbols = t.text_map(cat.CURRENCY_SYMBOLS.items())
     first = t.first_or_null(prices)
     currency = F.coalesce(F.try_element_at(symbols, F.substring(first, 1, 1)), F.substring(first, 1, 3))
     hint = None
@@ -207,7 +219,7 @@ def tech_stack_normalize() -> FieldResult:
 
 def detected_stack(tools: Column) -> Column:
     """Tool names to catalog entries; unknown names keep a slug and no category."""
-    lookup = F.create_map(*[F.lit(x) for code, category, _ in cat.TECHNOLOGIES for x in (code, category)])
+    lookup = t.text_map((code, category) for code, category, _ in cat.TECHNOLOGIES)
 
     def entry(name: Column) -> Column:
         return t.let(
@@ -314,7 +326,7 @@ def iso_date(raw: Column) -> Column:
     slash = F.when(year != "", F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")))
     names = "|".join(cat.MONTHS)
     named = rf"\b({names})\s+(\d{{1,2}})(?:,\s*|\s+)(\d{{4}})\b"
-    month_no = F.array_position(F.array(*[F.lit(m) for m in cat.MONTHS]), part(named, 1))
+    month_no = F.array_position(t.text_array(cat.MONTHS), part(named, 1))
     worded = F.when(
         part(named, 3) != "",
         F.concat_ws("-", part(named, 3), F.lpad(month_no.cast("string"), 2, "0"), F.lpad(part(named, 2), 2, "0")),
@@ -383,7 +395,7 @@ def experience_signal_extract() -> FieldResult:
 
 def service_region_extract() -> FieldResult:
     abbreviations = sorted(cat.US_STATES.values())
-    states = F.array(*[F.lit(s) for s in abbreviations])
+    states = t.text_array(abbreviations)
     city_state = F.filter(
         t.extract_all(_md(), t.ahead("A-Z", cat.CITY_STATE)), lambda p: F.array_contains(states, F.right(p, F.lit(2)))
     )
@@ -508,7 +520,7 @@ def extract_fields(
     out = out.withColumn("_low", F.lower("_md"))
     given = [c for c in out.columns if c not in ("_md", "_low")]
     for stage in _stages(jobs):
-        results = [(job, job.build()) for job in stage]
+        results = [(job, job.result()) for job in stage]
         # Values, then what is derived from them; private helper columns come first.
         helpers = {k: c for _, r in results for k, c in r.extra.items() if k.startswith("_")}
         if helpers:

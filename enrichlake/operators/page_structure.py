@@ -159,16 +159,16 @@ def dictionary_codes(text: Column, catalog: CatalogRows, lowered: bool = False)
             for letter, aliases in by_letter.items()
         )
         hits = t.extract_all(text, t.ahead("".join(by_letter), rf"\b(?=({branches})\b)"), 1)
-        lookup = F.create_map(*[F.lit(x) for pair in layer.items() for x in pair])
+        lookup = t.text_map(layer.items())
         keys = F.array_distinct(F.transform(hits, lambda h: F.regexp_replace(h, r"(?U)\s+", " ")))
         found = F.concat(found, F.transform(keys, lambda k: F.try_element_at(lookup, k)))
-    order = F.array(*[F.lit(code) for code, _, _ in catalog])
+    order = t.text_array(code for code, _, _ in catalog)
     return F.array_intersect(order, found)
 
 
 def with_category(codes: Column, catalog: CatalogRows) -> Column:
     """Attach the category of each code: ARRAY<STRUCT<tool_id, category>>."""
-    lookup = F.create_map(*[F.lit(x) for code, category, _ in catalog for x in (code, category)])
+    lookup = t.text_map((code, category) for code, category, _ in catalog)
     return F.transform(
         codes, lambda c: F.struct(c.alias("tool_id"), F.try_element_at(lookup, c).alias("category"))
     )

@@ -43,15 +43,14 @@ def bio_entities(people: DataFrame, id_col: str = "person_id", text_col: str = "
     """P8 as rows (id, kind, pos, entity)."""
     entities = people.select(id_col, p.bio_entities(F.col(text_col)).alias("e"))
     kinds = {"url": "mentioned_urls", "company": "mentioned_companies", "handle": "mentioned_handles"}
-    entries = F.concat(
-        *[
-            F.transform(
-                F.col(f"e.{name}"),
-                lambda x, i, kind=kind: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), x.alias("entity")),
-            )
-            for kind, name in kinds.items()
-        ]
-    )
+
+    def entries_of(kind: str, name: str) -> Column:
+        return F.transform(
+            F.col(f"e.{name}"),
+            lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("pos"), x.alias("entity")),
+        )
+
+    entries = F.concat(*[entries_of(kind, name) for kind, name in kinds.items()])
     return entities.select(id_col, F.inline(entries))
 
 

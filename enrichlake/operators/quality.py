@@ -100,7 +100,7 @@ def json_shape_violations(social: Column, careers: Column) -> Column:
     def has_value(v: Column) -> Column:
         return v.isNotNull() & ~F.is_variant_null(v)
 
-    known = F.array(*[F.lit(k) for k in sorted(cat.SOCIAL_PLATFORMS)])
+    known = t.text_array(sorted(cat.SOCIAL_PLATFORMS))
     as_map = F.try_variant_get(social, "$", "map<string,variant>")
     unknown = F.array_sort(F.array_except(F.map_keys(as_map), known))
     quoted = lambda xs: F.concat(F.lit("['"), F.array_join(xs, "', '"), F.lit("']"))
@@ -124,7 +124,7 @@ def json_shape_violations(social: Column, careers: Column) -> Column:
             )
         ),
     )
-    role_keys = F.array(*[F.lit(k) for k in sorted(cat.ROLE_KEYS)])
+    role_keys = t.text_array(sorted(cat.ROLE_KEYS))
     roles = F.try_variant_get(careers, "$", "array<variant>")
 
     def role_reason(role: Column, i: Column) -> Column:

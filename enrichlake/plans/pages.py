@@ -81,7 +81,7 @@ def drift_warnings(
     if history is not None:
         old = history.select("field", "ts", F.col("seq").cast(new.schema["seq"].dataType).alias("seq"), "is_empty")
         new = new.unionByName(old, allowMissingColumns=True)
-    order = F.array(*[F.lit(f) for f in fields])
+    order = t.text_array(fields)
     return (
         drift_flags(new)
         .where(F.col("drifting") & F.col("_field").isNotNull())
