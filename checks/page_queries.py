@@ -13,7 +13,6 @@ from enrichlake.operators import page_fields as pf
 from enrichlake.operators import page_structure as ps
 from enrichlake.operators import quality, report
 from enrichlake.operators import triage as tr
-from enrichlake.operators.skew import spread_scan
 from enrichlake.plans import pages as plan
 from enrichlake.sources.writers import flatten
 
@@ -23,7 +22,7 @@ from .registry import query
 
 
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_scan(fixture(spark, sf_dir, "site_pages"))
+    return fixture(spark, sf_dir, "site_pages")
 
 
 def fields(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:

@@ -12,6 +12,7 @@ from enrichlake.operators import bronze, drift, icp, people, quality, resolve
 from enrichlake.operators import profiles as pj
 from enrichlake.plans import companies as cp
 from enrichlake.plans import pages as plan
+from enrichlake.session import checkpointed
 from enrichlake.sources import readers
 
 from . import page_sql as s
@@ -667,7 +668,11 @@ def company_rows(spark, sf_dir):
     profiles = pj.company_universal(records.withColumn("raw", F.parse_json("value"))).join(
         records.select("record_id", "domain"), "record_id"
     )
-    rows = cp.assemble_company_rows(profiles, gated(spark, sf_dir), with_drift=False)
+    # Both joins read the pages; the table they are written to serves both, extracted once.
+    pages = checkpointed(
+        gated(spark, sf_dir).select("page_id", "domain_normalize", "company_description_extract", "company_entity_resolve")
+    )
+    rows = cp.assemble_company_rows(profiles, pages, with_drift=False)
     return rows.select("record_id", "page_id", "name", "name_source", "name_conflict", "domain", "description", "company_id_key", "industry")
 
 

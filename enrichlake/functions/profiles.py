@@ -205,13 +205,17 @@ def is_ongoing(end: Column) -> Column:
     return end.isNull() | F.lower(t.strip(end)).isin(*cat.ONGOING)
 
 
-def duration_years(start: Column, end: Column, as_of: Column) -> Column:
-    """Years between two year-month texts, at least 0; NULL when one cannot be read."""
-    ended = year_month(end)
-    end_months = F.when(is_ongoing(end), F.year(as_of) * 12 + F.month(as_of)).otherwise(
+def span_years(began: Column, ended: Column, ongoing: Column, as_of: Column) -> Column:
+    """Years between two parsed year-months, at least 0; NULL when one is missing."""
+    end_months = F.when(ongoing, F.year(as_of) * 12 + F.month(as_of)).otherwise(
         ended["year"] * 12 + F.coalesce(F.nullif(ended["month"], F.lit(0)), F.lit(12))
     )
-    began = year_month(start)
     start_months = began["year"] * 12 + F.coalesce(F.nullif(began["month"], F.lit(0)), F.lit(1))
     months = end_months - start_months
-    return F.when(months.isNotNull(), F.greatest(months, F.lit(0)) / F.lit(12.0))
+    return F.when(months > 0, months).when(months.isNotNull(), F.lit(0)) / F.lit(12.0)
+
+
+def duration_years(start: Column, end: Column, as_of: Column) -> Column:
+    """The same for two texts, each read once."""
+    both = F.struct(year_month(start).alias("began"), year_month(end).alias("ended"), is_ongoing(end).alias("ongoing"))
+    return t.let(both, lambda p: span_years(p["began"], p["ended"], p["ongoing"], as_of))

@@ -105,12 +105,20 @@ def experience_summary(experience: DataFrame, as_of: Column, id_col: str = "pers
 
     All aggregates combine before the shuffle; a person's roles are never gathered.
     """
-    began = p.year_month(F.col("start_date"))
-    roles = experience.select(
+    # Each date text is read once, in a projection of its own.
+    read = experience.select(
         id_col,
         "pos",
-        p.duration_years(F.col("start_date"), F.col("end_date"), as_of).alias("_years"),
+        t.evaluated(p.year_month(F.col("start_date"))).alias("_began"),
+        t.evaluated(p.year_month(F.col("end_date"))).alias("_ended"),
         p.is_ongoing(F.col("end_date")).alias("_current"),
+    )
+    began = F.col("_began")
+    roles = read.select(
+        id_col,
+        "pos",
+        p.span_years(began, F.col("_ended"), F.col("_current"), as_of).alias("_years"),
+        "_current",
         # A missing month counts as before January; the first of equal starts wins.
         F.when(began.isNotNull(), F.struct(began["year"], F.coalesce(began["month"], F.lit(0)), -F.col("pos"))).alias(
             "_start"

@@ -43,12 +43,12 @@ def assemble_company_rows(
     """One row per (profile, page) of the same domain; either side may be missing.
 
     `profiles(record_id, domain, name, industry, headcount, location, linkedin_url
-    [, source_link])`; `page_rows` as made by the page gate. The outer join is a
+    [, source_link])`; `page_rows` as made by the page gate, read back from the table
+    they were written to, since both joins below read them. The outer join is a
     left join plus the profiles without a page, because a full outer join cannot
     split a domain that holds many rows, and these two can.
     """
     rule = rule or default_rules(profile_source, page_source)["company_name"]
-    # A person asking for one name of two columns needs no shuffle to resolve them.
     profiles = profiles if "source_link" in profiles.columns else profiles.withColumn(
         "source_link", F.lit(None).cast("string")
     )
