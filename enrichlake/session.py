@@ -37,7 +37,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
