@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, quality_rules
+from . import exact_dedup, mixing, quality_rules
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
 
 SQL = {
+    "op1_mixing": mixing.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
 }
