@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, quality_rules
+from . import exact_dedup, mixing, packing, quality_rules
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op6_packing": packing.op6_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
 }
