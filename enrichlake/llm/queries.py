@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, quality_rules
+from . import exact_dedup, mixing, ngram_join, packing, quality_rules
 
 QUERIES = {
+    "op10_ngram_join": ngram_join.op10_ngram_join,
     "op1_mixing": mixing.op1_mixing,
     "op6_packing": packing.op6_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
