@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrichlake.llm import common, exact_dedup, quality_rules
+from enrichlake.llm import common, exact_dedup, mixing, ngram_join, packing, quality_rules
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +21,26 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.kept_documents(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Near copies: shingles of five words, similarity of 0.8 or more."""
+    return ngram_join.kept_documents(docs, words=5, percent=80)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Four fifths of the tokens, by weight; one epoch, so no document comes twice behind deduplication."""
+    return mixing.mixed_documents(docs, mixing.DOMAIN, "supply * 4 div 5", mixing.WEIGHTS, max_epochs=1, seed=mixing.SEED)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", rules),
     ("exact_dedup", exact),
+    ("ngram_join", near),
+    ("mixing", mix),
+    ("packing", pack),
 ]
 
 #: Token packing cannot be said in SQL; tests hold the stages against brute force.

@@ -324,9 +324,9 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
     return Join(docs, id_col, text_col, words, percent).run()
 
 
-def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The document of smallest id of each component, with the columns of `docs` as they are."""
-    stay = link(docs, id_col, text_col).where("component_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
+    stay = link(docs, id_col, text_col, words, percent).where("component_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
     stay = common.Scratch(docs.sparkSession, "ngram-kept").store(stay, "stay")
     return docs.join(stay, docs[id_col].cast("bigint").eqNullSafe(F.col("_stays")), "left_semi")
 
