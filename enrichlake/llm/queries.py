@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, ngram_join, packing, quality_rules
+from . import exact_dedup, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding
 
 QUERIES = {
     "op10_ngram_join": ngram_join.op10_ngram_join,
     "op1_mixing": mixing.op1_mixing,
+    "op2_secret_ledger": secret_ledger.op2_secret_ledger,
+    "op4_sharding": sharding.op4_sharding,
     "op6_packing": packing.op6_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
