@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding
+from . import capture_index, exact_dedup, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding
 
 QUERIES = {
+    "op9_capture_index": capture_index.op9_capture_index,
     "op10_ngram_join": ngram_join.op10_ngram_join,
     "op1_mixing": mixing.op1_mixing,
     "op2_secret_ledger": secret_ledger.op2_secret_ledger,
