@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import capture_index, exact_dedup, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding
+from . import capture_index, exact_dedup, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding, site_quality
 
 QUERIES = {
     "op9_capture_index": capture_index.op9_capture_index,
@@ -10,6 +10,7 @@ QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_secret_ledger": secret_ledger.op2_secret_ledger,
     "op4_sharding": sharding.op4_sharding,
+    "op5_site_quality": site_quality.op5_site_quality,
     "op6_packing": packing.op6_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
