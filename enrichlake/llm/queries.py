@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import capture_index, exact_dedup, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding, site_quality
+from . import capture_index, exact_dedup, katz, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding, site_quality
 
 QUERIES = {
     "op9_capture_index": capture_index.op9_capture_index,
     "op10_ngram_join": ngram_join.op10_ngram_join,
     "op1_mixing": mixing.op1_mixing,
     "op2_secret_ledger": secret_ledger.op2_secret_ledger,
+    "op3_katz": katz.op3_katz,
     "op4_sharding": sharding.op4_sharding,
     "op5_site_quality": site_quality.op5_site_quality,
     "op6_packing": packing.op6_packing,
