@@ -156,7 +156,7 @@ def site_locale(spark, sf_dir):
 PRICING = {k: s.FIELD_COLUMNS[k] for k in ("pricing_text", "prices", "currency_code", "billing_hint")}
 
 
-@query(s.pages_sql("page_id, currency_code, nullif(array_to_string(prices[:20], '|'), '') as price_points, billing_hint", PRICING))
+@query(s.pages_sql("page_id, currency_code, nullif(array_to_string(prices, '|'), '') as price_points, billing_hint", PRICING))
 def pricing(spark, sf_dir):
     p = F.col("pricing_locale_extract")
     return fields(spark, sf_dir, "pricing_locale_extract").select(

@@ -143,7 +143,7 @@ DESCRIPTION = (
     + "), lambda p: len(string_split(p, ' ')) >= 6)[1]"
 )
 PRICING_REST = r"regexp_extract(md, '(?im)^##\s*[^\n]*(?:pricing|plans)[^\n]*$((?s:.*))', 1)"
-PRICING_TEXT = rf"coalesce(nullif(substr(string_split_regex({PRICING_REST}, '(?m)^##?\s')[1], 1, 4000), ''), md)"
+PRICING_TEXT = rf"coalesce(nullif(string_split_regex({PRICING_REST}, '(?m)^##?\s')[1], ''), md)"
 PRICES = f"regexp_extract_all(pricing_text, {q(cat.PRICE)})"
 HINT = "case " + " ".join(f"when {has('pricing_text', p)} then {q(label)}" for label, p in cat.BILLING_HINTS.items()) + " end"
 
@@ -200,7 +200,7 @@ FIELD_COLUMNS = {
     "legal_text": LEGAL_SOURCE,
     "legal_name": null_if_blank(rf"regexp_replace({trim(f'regexp_extract(legal_text, {q(COPYRIGHT)}, 2)')}, '^[.,]+|[.,]+$', '', 'g')"),
     "copyright_year": f"case when legal_name is not null then try_cast(regexp_extract(legal_text, {q(COPYRIGHT)}, 1) as integer) end",
-    "description": f"substr(coalesce(nullif({trim('company_description')}, ''), {DESCRIPTION}), 1, 500)",
+    "description": f"coalesce(nullif({trim('company_description')}, ''), {DESCRIPTION})",
     "locale_hits": LOCALE_HITS,
     "languages": distinct_in_order("locale_hits"),
     "pricing_text": PRICING_TEXT,

@@ -97,9 +97,9 @@ def source_resolve_confidence(spark, sf_dir):
 
 
 @query(with_fixtures("candidates", body="select entity_id, field, source, arg_max_null(value, ord) as value from candidates "
-                     "where field <> 'city' group by all"))
+                     "group by all"))
 def raw_values(spark, sf_dir):
-    return resolve.raw_values(fixture(spark, sf_dir, "candidates").where(F.col("field") != "city"))
+    return resolve.raw_values(fixture(spark, sf_dir, "candidates"))
 
 
 # --- B1-B5, B12 -------------------------------------------------------------------
@@ -239,12 +239,13 @@ def icp_filter(spark, sf_dir):
     return icp.icp_filter_companies(nested_companies(spark, sf_dir), CLIENT).select("company_id", "name")
 
 
-@query(with_fixtures("people", "companies", body=f"""select person_id from people p join companies c on c.company_id = p.person_id % 100 where {ICP_WHERE}
+@query(with_fixtures("people", "companies", body=f"""select person_id from people p join companies c on c.company_id = p.person_id % (select max(company_id) + 1 from companies) where {ICP_WHERE}
   and job_title in ('VP of Sales', 'Chief Executive Officer', 'Director of Sales', 'Vice President')"""))
 def icp_filter_people(spark, sf_dir):
-    employers = nested_companies(spark, sf_dir).where(F.col("company_id") < 100)
+    employers = nested_companies(spark, sf_dir)
+    n = employers.agg(F.max("company_id")).first()[0] + 1
     employer = F.struct("industry", "company_size", "locations", "technographics", "products_and_services", "description")
-    joined = fixture(spark, sf_dir, "people").withColumn("_c", F.col("person_id") % 100).join(
+    joined = fixture(spark, sf_dir, "people").withColumn("_c", F.col("person_id") % n).join(
         employers.select(F.col("company_id").alias("_c"), employer.alias("company")), "_c"
     )
     # The former role has the right employer and the wrong title, or the other way round.
@@ -345,7 +346,9 @@ def match_leads(spark, sf_dir):
   left join experience e on e.person_id = p.person_id and (lower(e.company) = lower(trim(p.company_name)) or rtrim(e.company_url, '/') = p.company_url)
   group by pair_id"""))
 def current_at_company(spark, sf_dir):
-    roles = fixture(spark, sf_dir, "experience").withColumn("end_date", F.nullif(F.col("end_date"), F.lit("Present")))
+    # A role that goes on is written in three ways.
+    words = F.when(F.col("pos") % 2 == 0, "").otherwise(F.col("end_date"))
+    roles = fixture(spark, sf_dir, "experience").withColumn("end_date", F.when(F.col("end_date") == "Present", words).otherwise(F.col("end_date")))
     key = F.col("c_custkey")
     pairs = table(spark, sf_dir, "customer").select(
         key.alias("pair_id"), key.alias("person_id"),
@@ -455,7 +458,7 @@ def connections_band(spark, sf_dir):
 
 
 @query("""select c_custkey, cast(case c_custkey % 4 when 0 then 0 when 1 then greatest(c_custkey % 50 - 10, 0) when 2 then 4 else 2 end as integer) as mutual_count,
-  case c_custkey % 4 when 2 then c_name || '|Bo|Cy' when 3 then c_name else '' end as sample_names from customer""")
+  case c_custkey % 4 when 2 then c_name || '|Bo|Cy|Di' when 3 then c_name else '' end as sample_names from customer""")
 def mutual_connections(spark, sf_dir):
     key, name = F.col("c_custkey"), F.col("c_name")
     people_of = lambda *names: F.to_json(F.array(*[F.struct(n.alias("name")) for n in names]))
@@ -699,6 +702,23 @@ def person_rows(spark, sf_dir):
     )
 
 
+@query(with_fixtures("people", body=f""", u as ({PERSON_UNIVERSAL})
+select record_id, case when record_id % 3 < 2 and record_id % 5 = 0 then 'Contact title' else job_title end as job_title,
+  case when record_id % 3 < 2 and record_id % 5 = 0 then 'export' else 'profile' end as job_title_source,
+  case when record_id % 3 < 2 and record_id % 5 = 0 then record_id || '@example.com' end as email from u"""))
+def person_rows_from_contacts(spark, sf_dir):
+    # Contacts as the reader of contact exports hands them on, with a tag per column.
+    text_id = F.col("person_id").cast("string")
+    contacts = fixture(spark, sf_dir, "people").where(F.col("person_id") % 5 == 0).select(
+        F.concat(F.lit("https://in.example.com/"), text_id).alias("linkedin_url"),
+        F.lit("Contact title").alias("job_title"),
+        F.concat(text_id, F.lit("@example.com")).alias("email"),
+    )
+    tagged = contacts.select(*[x for c in contacts.columns for x in (F.col(c), F.lit("export").alias(f"{c}_source"))])
+    rows = cp.assemble_person_rows(pj.person_universal(person_records(spark, sf_dir)), tagged, with_drift=False)
+    return rows.select("record_id", "job_title", "job_title_source", "email")
+
+
 @query(with_fixtures("people", "companies", body="select person_id, c.company_id as linked_company_id from people p left join companies c "
                      "on replace(lower(c.name), ' corp', '') = replace(lower(p.company_name), ' corp', '')"))
 def company_person_link(spark, sf_dir):
@@ -706,7 +726,7 @@ def company_person_link(spark, sf_dir):
     return cp.company_person_link(folk, fixture(spark, sf_dir, "companies"), "employer").select("person_id", "linked_company_id")
 
 
-RUN_ICP = icp.Icp("client", "Client", industries=("Banking", "Financial Services"), people_job_title_include=("Sales",), limit=1000000)
+RUN_ICP = icp.Icp("client", "Client", industries=("Banking", "Financial Services"), people_job_title_include=("Sales",), limit=None)
 RUN_FETCHES = """select domain, concat('# ', name, chr(10), chr(10), name, ' is a software platform for many teams in the region and works with all of them every day.',
   case when company_id % 4 = 0 then ' Our new site is coming soon.' else '' end, chr(10), chr(10), '© 2024 ', name, '. All rights reserved.') as markdown,
   concat('https://www.', domain) as source_url from companies where domain is not null"""

@@ -94,15 +94,15 @@ def connections_band(count: Column) -> Column:
     return F.when(n >= cat.CONNECTIONS_CEILING, f"{cat.CONNECTIONS_CEILING}+").otherwise(n.cast("string"))
 
 
-def mutual_connections(value: Column) -> Column:
-    """VARIANT count or list to STRUCT<mutual_count, sample_names>."""
+def mutual_connections(value: Column, sample: int | None = None) -> Column:
+    """VARIANT count or list to STRUCT<mutual_count, sample_names>; all names unless `sample` is given."""
     people = F.try_variant_get(value, "$", "array<variant>")
     names = F.filter(F.transform(people, lambda p: as_text(p, "$.name")), lambda n: ~t.is_blank(n))
     none = F.array().cast("array<string>")
     count = F.greatest(F.try_variant_get(value, "$", "int"), F.lit(0))
     return F.struct(
         F.when(people.isNotNull(), F.size(people)).otherwise(F.coalesce(count, F.lit(0))).alias("mutual_count"),
-        F.when(people.isNotNull(), F.slice(names, 1, cat.MUTUAL_SAMPLE)).otherwise(none).alias("sample_names"),
+        F.when(people.isNotNull(), names if sample is None else F.slice(names, 1, sample)).otherwise(none).alias("sample_names"),
     )
 
 

@@ -76,23 +76,32 @@ def attach_profiles_by_query_url(
 def merge_bronze_branches(
     company_table: DataFrame, branches: Sequence[tuple[DataFrame, str]], id_col: str = "company_id"
 ) -> DataFrame:
-    """Raw columns of independent branches back on the company table, by id only."""
+    """Raw columns of independent branches back on the company table, by id only.
+
+    An id that a branch repeats keeps its greatest raw value, so a branch never adds rows.
+    """
     out = company_table
     for branch, raw_col in branches:
-        out = out.join(branch.select(id_col, raw_col), id_col, "left")
+        once = branch.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(raw_col).alias(raw_col))
+        out = out.join(once, id_col, "left")
     return out
 
 
 def build_page_inputs(companies: DataFrame, fetches: DataFrame) -> DataFrame:
     """One page per company, whatever its fetch gave.
 
-    `fetches(domain, markdown, source_url)` holds one row per fetched domain. No
-    domain: empty text and no URL. Failed fetch: empty text, requested URL.
+    Of several `fetches(domain, markdown, source_url)` of a domain one with text is
+    taken before one without, then the greatest URL and text. No domain: empty text
+    and no URL. Failed fetch: empty text, requested URL.
     """
     key = spread_nulls(t.blank_to_null(F.col("domain")), F.col("company_id"))
-    fetched = fetches.select(
-        F.col("domain").alias("_key"), F.col("markdown").alias("_markdown"), F.col("source_url").alias("_url")
-    ).where(~t.is_blank(F.col("_key")))
+    best = F.max(F.struct((~t.is_blank(F.col("markdown"))).alias("some"), "source_url", "markdown"))
+    fetched = (
+        fetches.where(~t.is_blank(F.col("domain")))
+        .groupBy(F.col("domain").alias("_key"))
+        .agg(best.alias("_best"))
+        .select("_key", F.col("_best.markdown").alias("_markdown"), F.col("_best.source_url").alias("_url"))
+    )
     asked = F.when(~t.is_blank(F.col("domain")), F.concat(F.lit("https://"), F.col("domain")))
     return (
         companies.withColumn("_key", key)

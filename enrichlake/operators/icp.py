@@ -34,7 +34,7 @@ class Icp:
     description_keywords: tuple[str, ...] = ()
     products_and_services: tuple[str, ...] = ()
     exclude_domains: tuple[str, ...] = ()
-    limit: int = 100
+    limit: int | None = 100  # None: all
     notes: str | None = None
     created_at: str | None = None
     people_job_title_include: tuple[str, ...] = ()
@@ -258,9 +258,12 @@ def people_at_domains(
     return people.where(F.col("company_domain").isNotNull() & fits).join(wanted, "company_domain", "left_semi")
 
 
-def limit_results(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
-    """The first `n` rows in an explicit order."""
-    return df.orderBy(*order).limit(n)
+def limit_results(df: DataFrame, n: int | None, *order: Column | str) -> DataFrame:
+    """The first `n` rows in an explicit order; all rows, as they are, without a limit.
+
+    Spark returns the first rows in one partition, so they are dealt anew for the work behind.
+    """
+    return df if n is None else df.orderBy(*order).limit(n).hint("rebalance")
 
 
 # --- B10 --------------------------------------------------------------------------

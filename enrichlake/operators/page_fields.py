@@ -127,7 +127,7 @@ def legal_entity_extract() -> FieldResult:
     )
 
 
-def company_description_extract() -> FieldResult:
+def company_description_extract(max_chars: int | None = None) -> FieldResult:
     override = t.blank_to_null(t.strip(F.col("company_description")))
     words = cat.DESCRIPTION_MIN_WORDS - 1
     prose = F.filter(
@@ -148,7 +148,9 @@ def company_description_extract() -> FieldResult:
         first = t.let(cleaned(t.first_or_null(ps)), lambda c: F.when(long_enough(c), c))
         return F.coalesce(first, t.first_or_null(F.filter(F.transform(ps, cleaned), long_enough)))
 
-    value = F.substring(F.coalesce(override, t.let(prose, pick)), 1, cat.DESCRIPTION_MAX_CHARS)
+    value = F.coalesce(override, t.let(prose, pick))
+    if max_chars is not None:
+        value = F.substring(value, 1, max_chars)
     source = F.when(override.isNotNull(), "context").when(
         F.col("company_description_extract").isNotNull(), "markdown"
     )
@@ -169,7 +171,8 @@ def site_locale_detect() -> FieldResult:
     return FieldResult(value, _if_found(_non_empty(F.col("site_locale_detect")), "markdown"))
 
 
-def pricing_locale_extract() -> FieldResult:
+def pricing_locale_extract(max_prices: int | None = None, max_chars: int | None = None) -> FieldResult:
+    """All prices of the pricing section, unless `max_prices` or `max_chars` bounds them."""
     has_price = t.holds_any(_md(), cat.PRICE_TEXTS) & t.matches(_md(), t.rx(cat.PRICE))
     part = F.col("_pricing_text")
     prices = t.extract_all(part, t.rx(cat.PRICE))
@@ -184,11 +187,11 @@ def pricing_locale_extract() -> FieldResult:
         _non_empty(prices),
         F.struct(
             currency.alias("currency_code"),
-            F.slice(prices, 1, cat.PRICE_POINTS).alias("price_points"),
+            (prices if max_prices is None else F.slice(prices, 1, max_prices)).alias("price_points"),
             hint.alias("billing_model_hint"),
         ),
     )
-    pricing_section = section(_md(), cat.PRICING_TITLES)
+    pricing_section = section(_md(), cat.PRICING_TITLES, max_chars)
     text = F.when(has_price, F.coalesce(t.blank_to_null(pricing_section), _md()))
     return FieldResult(
         value,

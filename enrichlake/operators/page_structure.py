@@ -39,23 +39,23 @@ def page_links(pages: DataFrame) -> DataFrame:
 
 
 # --- footer, sections, paragraphs --------------------------------------------
-def footer(markdown: Column) -> Column:
-    """From the first footer, contact or legal heading on; else the last lines."""
+def footer(markdown: Column, lines: int = cat.FOOTER_LINES) -> Column:
+    """From the first footer, contact or legal heading on; else the last `lines` lines."""
     headed = t.extract(
         markdown,
         t.rx(r"^#{1,6}\s*(?:footer|contact|legal)\b(?s:.*)", ignore_case=True, multiline=True),
     )
-    n = cat.FOOTER_LINES
+    n = lines
     tail = t.let(
         t.lines(t.strip(markdown)), lambda xs: F.slice(xs, F.greatest(F.size(xs) - (n - 1), F.lit(1)), F.lit(n))
     )
     return F.coalesce(headed, F.array_join(tail, "\n"))
 
 
-def section(markdown: Column, titles: Sequence[str], max_chars: int = cat.SECTION_CHARS) -> Column:
+def section(markdown: Column, titles: Sequence[str], max_chars: int | None = None) -> Column:
     """Text under the first heading that names one of `titles`, '' when there is none.
 
-    The section ends at the next heading of the same or a higher level.
+    The section ends at the next heading of the same or a higher level, whole unless `max_chars` is given.
     """
     names = "|".join(t.literal(x) for x in titles)
     found = F.regexp_extract(
@@ -66,8 +66,9 @@ def section(markdown: Column, titles: Sequence[str], max_chars: int = cat.SECTIO
 
     def cut(heading_on: Column) -> Column:
         level = F.length(F.regexp_extract(heading_on, r"^\s*(#{1,6})", 1))
-        # No section is longer than max_chars, so the search for its end stops there too.
-        rest = F.substring(F.regexp_extract(heading_on, r"(?ds)^#{1,6}\s*[^\n]*(.*)$", 1), 1, max_chars)
+        rest = F.regexp_extract(heading_on, r"(?ds)^#{1,6}\s*[^\n]*(.*)$", 1)
+        if max_chars is not None:  # then the search for its end stops there too
+            rest = F.substring(rest, 1, max_chars)
         out = F.lit("")
         for n in range(1, 7):
             end = t.rx(rf"^#{{1,{n}}}(?!#)\s*\S", multiline=True)
@@ -78,16 +79,17 @@ def section(markdown: Column, titles: Sequence[str], max_chars: int = cat.SECTIO
 
 
 def sections(markdown: Column) -> Column:
-    """All headings of a page with level, title and the text below each."""
+    """All headings of a page with level, title and the text below each, as it stands in the page."""
     level_title = t.rx(r"^(#{1,6})\s*(.+)$", multiline=True)
     marks = t.extract_all(markdown, level_title, 1)
     titles = t.extract_all(markdown, level_title, 2)
+    whole = t.extract_all(markdown, level_title, 0)
     # Pieces of text between headings; piece 0 lies before the first one.
     pieces = F.split(markdown, t.rx(r"^#{1,6}\s*.+$", multiline=True))
     heads = F.transform(
-        F.arrays_zip(marks.alias("mark"), titles.alias("title"), F.slice(pieces, 2, F.size(marks) + 1).alias("own")),
+        F.arrays_zip(marks.alias("mark"), titles.alias("title"), whole.alias("whole"), F.slice(pieces, 2, F.size(marks) + 1).alias("own")),
         lambda h, i: F.struct(
-            i.alias("pos"), F.length(h["mark"]).alias("level"), h["mark"].alias("mark"),
+            i.alias("pos"), F.length(h["mark"]).alias("level"), h["whole"].alias("whole"),
             t.strip(h["title"]).alias("title"), h["own"].alias("own"),
         ),
     )
@@ -97,10 +99,10 @@ def sections(markdown: Column) -> Column:
             later = F.slice(hs, h["pos"] + 2, F.size(hs))
             stop = t.first_or_null(F.filter(later, lambda x: x["level"] <= h["level"]))["pos"]
             nested = F.filter(later, lambda x: stop.isNull() | (x["pos"] < stop))
-            below = F.transform(nested, lambda x: F.concat(x["mark"], F.lit(" "), x["title"], x["own"]))
+            below = F.transform(nested, lambda x: F.concat(x["whole"], x["own"]))
             return F.struct(
                 h["pos"].alias("pos"), h["level"].alias("level"), h["title"].alias("title"),
-                F.substring(F.concat(h["own"], F.array_join(below, "")), 1, cat.SECTION_CHARS).alias("text"),
+                F.concat(h["own"], F.array_join(below, "")).alias("text"),
             )
 
         return F.transform(hs, with_text)

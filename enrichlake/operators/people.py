@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import catalogs as cat
 from ..functions import text as t
-from ..functions.profiles import clean_person_name, name_key
-from ..functions.urls import url_key
+from ..functions.profiles import clean_person_name, is_ongoing, name_key
+from ..functions.urls import root_domain, url_key
 from .icp import Icp, title_condition
 from .skew import number_rows, spread_nulls, top_k
 
@@ -28,10 +28,8 @@ def people_waterfall(companies: DataFrame, people: DataFrame, icp: Icp, order_by
     """
     person_cols = people.columns
     if not (icp.people_job_title_include or icp.people_job_title_exclude):
-        return _waterfall_row(
-            companies.where(F.lit(False)).crossJoin(people.where(F.lit(False)).select(F.struct(*person_cols).alias("p"))),
-            "domain",
-        )
+        nobody = companies.where(F.lit(False)).withColumn("p", F.lit(None).cast(people.schema))
+        return _waterfall_row(nobody, "domain")
     cap = icp.people_max_per_company
     titled = people.where(
         title_condition(
@@ -116,61 +114,67 @@ def match_leads(leads: DataFrame, person_ref: DataFrame) -> DataFrame:
     """Split leads into matched, not_matched and invalid.
 
     The first identifier with a hit decides: person id, LinkedIn URL, e-mail, then
-    cleaned name with company. Each step joins against one reference person per
-    key (the smallest id), so no step can multiply leads.
+    the cleaned name with company name, website or company LinkedIn URL. Leads and
+    reference are spread to one row per (kind, key) and meet in one join; a key
+    stands for its smallest person id, so no lead is multiplied. `lead_id` names a lead.
     """
     absent = {c: F.lit(None).cast("string") for c in LEAD_COLUMNS if c not in leads.columns}
     full_name = F.coalesce(
         t.blank_to_null(F.col("full_name")), t.blank_to_null(F.concat_ws(" ", "first_name", "last_name"))
     )
 
-    def name_and_company(name: Column) -> Column:
-        company = name_key(F.col("company_name"))
-        return F.concat(name_key(clean_person_name(name)), F.lit("\u0001"), company)
-
-    keys = {
-        "id": (F.col("person_id").cast("string"), F.col("person_id").cast("string")),
-        "url": (url_key(F.col("linkedin_url")), url_key(F.col("linkedin_url"))),
-        "email": (name_key(F.col("email")), name_key(F.col("email"))),
-        "name": (name_and_company(full_name), name_and_company(F.col("full_name"))),
-    }
-    refs = person_ref.withColumns(
-        {c: F.lit(None).cast("string") for c in ("linkedin_url", "email", "full_name", "company_name") if c not in person_ref.columns}
+    def keys(name: Column) -> Column:
+        person = t.blank_to_null(name_key(clean_person_name(name)))
+
+        def at(company: Column) -> Column:
+            return F.concat(person, F.lit("\u0001"), t.blank_to_null(company))
+
+        found = {
+            "id": F.col("person_id").cast("string"),
+            "url": url_key(F.col("linkedin_url")),
+            "email": name_key(F.col("email")),
+            "name": at(name_key(F.col("company_name"))),
+            "website": at(root_domain(F.col("company_website"))),
+            "company_url": at(url_key(F.col("company_linkedin_url"))),
+        }
+        # Company name, website and company URL are ways to say the same, so all three report "name".
+        every = [
+            F.struct(F.lit(i).alias("step"), F.lit("name" if i > 3 else kind).alias("kind"), t.blank_to_null(key).alias("key"))
+            for i, (kind, key) in enumerate(found.items())
+        ]
+        return F.explode(F.filter(F.array(*every), lambda x: x["key"].isNotNull()))
+
+    known = {c: F.lit(None).cast("string") for c in LEAD_COLUMNS if c not in person_ref.columns}
+    refs = (
+        person_ref.withColumns(known)
+        .select(F.col("person_id").cast("string").alias("_pid"), keys(F.col("full_name")).alias("k"))
+        .groupBy("k.step", "k.key")
+        .agg(F.min("_pid").alias("_pid"))
+    )
+    checked = leads.withColumns(absent).withColumn("_valid", lead_is_valid())
+    asked = checked.where("_valid").select("lead_id", keys(full_name).alias("k")).select("lead_id", "k.*")
+    first = F.min(F.struct("step", "kind", "_pid")).alias("hit")
+    hits = asked.join(refs, ["step", "key"]).groupBy("lead_id").agg(first)
+    out = checked.join(hits, "lead_id", "left")
+    status = F.when(~F.col("_valid"), "invalid").when(F.col("hit").isNotNull(), "matched").otherwise("not_matched")
+    return out.select(
+        *leads.columns, status.alias("status"), F.col("hit._pid").alias("matched_person_id"), F.col("hit.kind").alias("matched_by")
     )
-    out = leads.withColumns(absent).withColumn("_valid", lead_is_valid())
-    for step, (lead_key, _) in keys.items():
-        usable = F.when(F.col("_valid"), t.blank_to_null(lead_key))
-        out = out.withColumn(f"_k_{step}", spread_nulls(usable, F.col("lead_id")))
-    for step, (_, ref_key) in keys.items():
-        ref = (
-            refs.select(ref_key.alias(f"_k_{step}"), F.col("person_id").cast("string").alias("_pid"))
-            .where(~t.is_blank(F.col(f"_k_{step}")))
-            .groupBy(f"_k_{step}")
-            .agg(F.min("_pid").alias(f"_p_{step}"))
-        )
-        out = out.join(ref, f"_k_{step}", "left")
-    found = F.coalesce(*[F.col(f"_p_{s}") for s in keys])
-    by = None
-    for step in keys:
-        test = F.col(f"_p_{step}").isNotNull()
-        by = F.when(test, step) if by is None else by.when(test, step)
-    status = F.when(~F.col("_valid"), "invalid").when(found.isNotNull(), "matched").otherwise("not_matched")
-    return out.select(*leads.columns, status.alias("status"), found.alias("matched_person_id"), by.alias("matched_by"))
 
 
 def current_at_company(experience: DataFrame, pairs: DataFrame) -> DataFrame:
     """B17 over long tables: `is_current_at_company` per (person, company) pair.
 
-    `experience(person_id, company, company_url, end_date)` with `end_date` NULL for
-    a role that goes on; `pairs(pair_id, person_id, company_name, company_url)`.
+    `experience(person_id, company, company_url, end_date)` with `end_date` NULL, blank or
+    a word like "Present" for a role that goes on; `pairs(pair_id, person_id, company_name, company_url)`.
     Roles are first reduced to one row per (person, company key), so each pair
     meets at most one row per key instead of all roles of its person.
     """
-    ended = F.col("end_date").isNotNull()
+    current = is_ongoing(t.blank_to_null(F.col("end_date")))
 
     def roles(key: Column, flag: str) -> DataFrame:
         return (
-            experience.select("person_id", key.alias("_key"), (~ended).alias("_current"))
+            experience.select("person_id", key.alias("_key"), current.alias("_current"))
             .where(~t.is_blank(F.col("_key")))
             .groupBy("person_id", "_key")
             .agg(F.bool_or("_current").alias(flag))

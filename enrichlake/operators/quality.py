@@ -229,7 +229,7 @@ def quality_scores(report: DataFrame, contracts_df: DataFrame, id_col: str) -> D
         position > 1, cat.LOWER_SOURCE_PENALTY
     ).otherwise(0.0)
     return (
-        report.join(F.broadcast(contracts_df), "field", "left")
+        report.join(contracts_df, "field", "left")
         .groupBy(id_col)
         .agg(F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.lit(100.0) - F.sum(penalty))).alias("quality_score"))
     )
@@ -260,7 +260,7 @@ def null_rate_vs_tolerance(report: DataFrame, contracts_df: DataFrame) -> DataFr
     )
     pct = F.col("empty_rows") * 100.0 / F.col("rows")
     return (
-        rates.join(F.broadcast(contracts_df), "field")
+        rates.join(contracts_df, "field")
         .withColumn("null_pct", pct)
         .withColumn("over_tolerance", pct > F.col("null_tolerance_pct"))
         .select("field", "rows", "empty_rows", "null_pct", "null_tolerance_pct", "over_tolerance")

@@ -18,12 +18,13 @@ def number_rows(
     Rows are range-partitioned on (key, order) into slices, and the slice of each
     row is fixed by a checkpoint. Each slice is numbered by itself and shifted by
     the size of the slices before it. The order columns have to identify a row
-    within its key, otherwise the slices could not split a run of ties.
+    within its key, otherwise the slices could not split a run of ties. NULL is a key
+    like any other. `df` is run once: sampling for the ranges reads its checkpoint.
     """
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = list(partition_by)
     sliced = checkpointed(
-        df.repartitionByRange(slices, *keys, *order_by).withColumn("_slice", F.spark_partition_id())
+        checkpointed(df).repartitionByRange(slices, *keys, *order_by).withColumn("_slice", F.spark_partition_id())
     )
     # One row per (key, slice): slices plus keys at most, since slices follow the key order.
     before = Window.partitionBy(*keys, *([] if keys else [F.lit(0)])).orderBy("_slice")
@@ -36,25 +37,23 @@ def number_rows(
         .drop("_n")
     )
     within = Window.partitionBy(*keys, "_slice").orderBy(*order_by)
+    same = F.col("_slice") == F.col("_of_slice")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    offsets = offsets.select(*[F.col(c).alias(f"_of_{c.removeprefix('_')}") for c in (*keys, "_slice")], "_offset")
     return (
-        sliced.join(offsets, [*keys, "_slice"])
+        sliced.join(offsets, same)
         .withColumn(name, F.col("_offset") + F.row_number().over(within))
-        .drop("_slice", "_offset")
+        .drop("_slice", "_offset", "_of_slice", *[f"_of_{k}" for k in keys])
     )
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], k: int, rank: str = "_rank") -> DataFrame:
     """The first `k` rows of each key.
 
-    `row_number() <= k` is cut on the map side for small k, so a hot key sends k
-    rows per task to the shuffle. For larger k the same is done by hand with a
-    salt before the final ranking.
+    Spark cuts each task to k rows a key before the shuffle as long as k is within
+    `spark.sql.optimizer.windowGroupLimitThreshold`; raise it for a larger k.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if 0 <= threshold < k:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(64)))
-        window = Window.partitionBy(*keys, "_salt").orderBy(*order_by)
-        df = salted.withColumn("_pre", F.row_number().over(window)).where(F.col("_pre") <= k).drop("_pre", "_salt")
     window = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 

@@ -18,7 +18,7 @@ from ..operators.profiles import employed_company
 from ..operators.resolve import Rule, default_rules, resolve_columns
 from ..operators.skew import spread_nulls
 from ..session import checkpointed
-from .pages import evaluate_records, gate_pages
+from .pages import evaluate_records, process_batch
 
 COMPANY_FIELDS = ("industry", "headcount", "location", "linkedin_url")
 PERSON_FIELDS = ("linkedin_url", "full_name", "job_title", "country", "linkedin_about", "age", "company_industry")
@@ -40,7 +40,11 @@ def assemble_company_rows(
     rule: Rule | None = None,
     with_drift: bool = True,
 ) -> DataFrame:
-    """One row per (profile, page) of the same domain; either side may be missing.
+    """A row per page with the profile of its domain, and a row per profile that no page took.
+
+    Of several profiles of a domain its pages take the one with the smallest
+    `record_id`; the others stay as rows without a page, so the join is many-to-one
+    and no domain multiplies.
 
     `profiles(record_id, domain, name, industry, headcount, location, linkedin_url
     [, source_link])`; `page_rows` as made by the page gate, read back from the table
@@ -67,8 +71,15 @@ def assemble_company_rows(
         F.col("company_description_extract").alias("description"),
         F.col("company_entity_resolve").alias("company_id"),
     )
-    with_page = right.join(left, "_key", "left")
-    only_profile = left.join(right.select("_key").distinct(), "_key", "left_anti")
+    chosen = left.groupBy("_key").agg(F.min("record_id").alias("_chosen"))
+    with_page = right.join(
+        left.join(chosen, "_key").where(F.col("record_id").eqNullSafe(F.col("_chosen"))).drop("_chosen"), "_key", "left"
+    )
+    taken = right.select("_key").distinct().join(chosen, "_key")
+    only_profile = left.join(
+        taken.select(F.col("_key").alias("_k"), "_chosen"),
+        (F.col("_key") == F.col("_k")) & F.col("record_id").eqNullSafe(F.col("_chosen")), "left_anti",
+    )
     both = with_page.unionByName(only_profile, allowMissingColumns=True)
     name = resolve_columns(
         [(profile_source, F.col("name")), (page_source, F.col("company_id.company_name"))], rule
@@ -130,7 +141,9 @@ def assemble_person_rows(
     tags = {f"{f}_source": F.lit(profile_source) for f in columns}
     contact_fields: list[str] = []
     if contacts is not None:
-        contact_fields = [c for c in contacts.columns if c != key]
+        # A contact table may carry its own `<column>_source` tags; they win over `contact_source`.
+        tagged = {c for c in contacts.columns if f"{c}_source" in contacts.columns}
+        contact_fields = [c for c in contacts.columns if c != key and c.removesuffix("_source") not in tagged - {c}]
         # One contact per key keeps the join many-to-one, whatever the export repeats.
         named = contacts.where(~t.is_blank(F.col(key))).groupBy(F.col(key).alias("_key")).agg(
             F.min(F.struct(*[F.col(c) for c in contacts.columns])).alias("_contact")
@@ -142,9 +155,8 @@ def assemble_person_rows(
         for c in contact_fields:
             value = F.col(f"_contact.{c}")
             columns[c] = F.when(has_contact, value).otherwise(columns[c]) if c in columns else value
-            tags[f"{c}_source"] = (
-                F.when(has_contact, contact_source).otherwise(profile_source) if f"{c}_source" in tags else F.lit(contact_source)
-            )
+            label = F.coalesce(F.col(f"_contact.{c}_source"), F.lit(contact_source)) if c in tagged else F.lit(contact_source)
+            tags[f"{c}_source"] = F.when(has_contact, label).otherwise(F.lit(profile_source)) if f"{c}_source" in tags else label
     if "email" not in columns:
         columns["email"] = F.lit(None).cast("string")
         tags["email_source"] = F.lit(contact_source)
@@ -172,11 +184,12 @@ def company_person_link(people: DataFrame, companies: DataFrame, person_col: str
 
 
 def companies_and_people(
-    icp: Icp, companies: DataFrame, fetches: DataFrame, people: DataFrame, order_by: Sequence[str] = ("company_id",)
+    icp: Icp, companies: DataFrame, fetches: DataFrame, people: DataFrame, order_by: Sequence[str] = ("company_id",),
+    history: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Profile filter, pages, gate, people of the companies that pass."""
+    """Profile filter, pages, gate with drift warnings, people of the companies that pass."""
     chosen = limit_results(icp_filter_companies(companies, icp), icp.limit, *order_by)
-    gated = checkpointed(gate_pages(build_page_inputs(chosen, fetches)))
+    gated = checkpointed(process_batch(build_page_inputs(chosen, fetches), history=history, ordered=False))
     found = people_waterfall(
         gated.select(
             F.col("page_id").alias("company_id"),

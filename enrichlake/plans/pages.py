@@ -13,6 +13,7 @@ from ..functions import text as t
 from ..operators import quality
 from ..operators.drift import drift_flags, history_key
 from ..operators.page_fields import PAGE_JOBS, FieldJob, extract_fields
+from ..operators.skew import top_k
 from ..operators.triage import triage
 from ..session import checkpointed
 
@@ -29,14 +30,19 @@ def gate_pages(
     contracts: quality.Contracts = PAGE_CONTRACTS,
     jobs: Sequence[FieldJob] = PAGE_JOBS,
     run_timestamp: Column | None = None,
+    where: Column | None = None,
 ) -> DataFrame:
     """Triage, extraction and gate: one output row per page, in one map-only stage.
 
+    `where` is a condition on given columns that selects the pages to work on. It
+    reaches the scan; a filter on the result does not, as it must not repeat the
+    extraction.
+
     Unusable pages keep their text and reasons; their fields are never evaluated.
     The plan holds no shuffle, so it scales with the number of splits. Everything
     of :func:`process_batch` is here but the drift warnings, which look across rows.
     """
-    triaged = triage(pages)
+    triaged = triage(pages if where is None else pages.where(where))
     usable = F.size("triage_reasons") == 0
     rows = extract_fields(triaged, jobs, usable)
     reported = [j.name for j in jobs if j.reported]
@@ -79,14 +85,16 @@ def drift_warnings(
     """(id, drift_warnings) for the rows that have a warning; at most one entry per field."""
     new = observations(rows, id_col, namespace)
     if history is not None:
-        old = history.select("field", "ts", F.col("seq").cast(new.schema["seq"].dataType).alias("seq"), "is_empty")
+        # Earlier batches came before this one, so only the last observations of a field can stand in a window.
+        latest = top_k(history, ["field"], [F.desc("ts"), F.desc("seq")], cat.DRIFT_WINDOW - 1)
+        old = latest.select("field", "ts", F.col("seq").cast(new.schema["seq"].dataType).alias("seq"), "is_empty")
         new = new.unionByName(old, allowMissingColumns=True)
     order = t.text_array(fields)
     return (
         drift_flags(new)
         .where(F.col("drifting") & F.col("_field").isNotNull())
         .groupBy(F.col("seq").alias(id_col))
-        .agg(F.collect_list("_field").alias("_fields"))
+        .agg(F.collect_set("_field").alias("_fields"))
         .select(
             id_col,
             F.transform(

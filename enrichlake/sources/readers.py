@@ -12,21 +12,12 @@ from ..functions.profiles import as_text
 from ..operators.bronze import COMPANY_SPINE, require_columns
 from ..operators.icp import icp_violations, parse_icp
 
-# One document per file is read whole; a vendor's response is far smaller than this.
-MAX_DOCUMENT_BYTES = 512 * 1024 * 1024
-
-
 def _documents(spark: SparkSession, path: str, lines: bool) -> DataFrame:
-    """JSON texts: one per line (splittable, for bulk data) or one per file."""
+    """JSON texts: one per line (splittable, for bulk data) or one per file, which is then read whole by a task."""
     if lines:
         return spark.read.text(path).where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("file"))
     docs = spark.read.text(path, wholetext=True)
-    size = F.col("_metadata.file_size")
-    error = F.raise_error(F.concat(F.lit("document too large, use one JSON text per line: "), F.col("_metadata.file_path")))
-    return docs.select(
-        F.when(size > MAX_DOCUMENT_BYTES, error.cast("string")).otherwise(F.col("value")).alias("value"),
-        F.col("_metadata.file_path").alias("file"),
-    )
+    return docs.select("value", F.col("_metadata.file_path").alias("file"))
 
 
 def scrape_payload(doc: Column) -> list[Column]:
@@ -41,9 +32,13 @@ def scrape_payload(doc: Column) -> list[Column]:
 
 
 def read_scrape_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Pages (markdown, source_url) out of scrape responses."""
+    """Pages (page_id, markdown, source_url) out of scrape responses.
+
+    `page_id` is a hash of file and response, so it stays the same however often and in whatever order files are
+    read. Equal responses of one file are one page to the jobs behind.
+    """
     docs = _documents(spark, path, lines).withColumn("doc", F.parse_json("value"))
-    return docs.select(*scrape_payload(F.col("doc")), "file")
+    return docs.select(F.xxhash64("file", "value").alias("page_id"), *scrape_payload(F.col("doc")), "file")
 
 
 def explode_records(docs: DataFrame, raw: str = "value") -> DataFrame:

@@ -210,7 +210,7 @@ def test_hiring_signal(one):
 
 
 def test_mutual_connections(one):
-    for raw, want in ((None, (0, [])), ("7", (7, [])), ("-2", (0, [])), ('[{"name":"A"},{"name":""},{"name":"B"},{"name":"C"},{"name":"D"}]', (5, ["A", "B", "C"]))):
+    for raw, want in ((None, (0, [])), ("7", (7, [])), ("-2", (0, [])), ('[{"name":"A"},{"name":""},{"name":"B"},{"name":"C"},{"name":"D"}]', (5, ["A", "B", "C", "D"]))):
         got = one(pr.mutual_connections(F.parse_json(F.col("s"))), "s string", raw)
         assert (got["mutual_count"], got["sample_names"]) == want
 
