@@ -96,6 +96,8 @@ def best_configuration(price: np.ndarray, room: int) -> Counter:
 def configurations(demand: np.ndarray, room: int, rounds: int = ROUNDS, epsilon: float = EPSILON) -> list[tuple[tuple[int, ...], float]]:
     """Multiplicative weights for: least sum of x with every size s covered demand[s-1] times. Sizes are 1..room."""
     present = demand > 0
+    if not present.any():
+        return []
     covered, x = np.zeros(len(demand)), Counter()
     scale = np.where(present, np.maximum(demand, 1), 1)
     for _ in range(rounds):
@@ -111,8 +113,8 @@ def configurations(demand: np.ndarray, room: int, rounds: int = ROUNDS, epsilon:
         step = epsilon * float((demand[sizes - 1] / times).min())
         covered[sizes - 1] += step * times / demand[sizes - 1]
         x[tuple(sorted(found.elements(), reverse=True))] += step
-    top = covered[present].max() if present.any() else 1.0
-    return [(c, w / max(top, 1.0)) for c, w in x.most_common()]
+    top = max(1.0, covered[present].max())  # no size is used beyond its demand
+    return [(c, w / top) for c, w in x.most_common()]
 
 
 class Lengths:

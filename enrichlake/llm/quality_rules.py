@@ -18,10 +18,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from . import common
 
@@ -231,8 +231,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     scratch = common.Scratch(docs.sparkSession, "quality-rules")
     references = scratch.store(language_references(plain, limits), "references")
     joined = plain.join(references, F.col("lang") == F.col("ref_lang"), "left").drop("lang")
-    key = docs.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(_judged([id_col], limits), f"`{id_col}` {key}, {MEASURES}")
+    out = StructType([StructField(id_col, docs.schema[id_col].dataType), *StructType.fromDDL(MEASURES)])
+    return joined.mapInArrow(_judged([id_col], limits), out)
 
 
 def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
