@@ -35,9 +35,9 @@ FEATURES = 4096
 #: Bytes of a word that also count as a feature, for words that are inflected.
 BEGINNINGS = (4, 6)
 #: A feature may be used if it is in so many documents and classes differ by this many standard errors.
-LEAST_DOCUMENTS, LEAST_Z = 10, 4.0
+LEAST_DOCUMENTS, LEAST_Z = 5, 4.0
 #: Weight of the squared coefficients, Newton steps, and steps of conjugate gradients in each.
-RIDGE, NEWTON, GRADIENTS = 1.0, 12, 30
+RIDGE, NEWTON, GRADIENTS = 0.2, 12, 30
 EDGES = b".,;:!?\"'()[]"
 #: Strength of a prior, in documents.
 STRENGTH = (1.0, 1e6)
