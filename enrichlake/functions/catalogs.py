@@ -7,6 +7,7 @@ are plain data; the code that uses them lives elsewhere. Larger vocabularies
 
 from __future__ import annotations
 
+# Fixed value: written to every gated row.
 SCHEMA_VERSION = "1.0"
 
 # --- triage -----------------------------------------------------------------

@@ -19,7 +19,7 @@ PERSON_SPINE = ("profile_id", "name", "linkedin_url")
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:
-        raise ValueError(f"input is missing required identity-spine column(s): {missing}")
+        raise ValueError(f"a spine needs these columns too: {missing}")
     return df
 
 

@@ -165,6 +165,7 @@ def placeholder_violations(rows: DataFrame, contracts: Contracts) -> Column:
     for name in contracts:
         dtype = _type_of(rows, name)
         if dtype is not None:
+            # Fixed wording of the reason.
             text = f"{name}: contains a placeholder string instead of empty (None/[]/{{}})"
             reasons.append(F.when(holds_placeholder(F.col(name), dtype), text))
     return _list(reasons)
