@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import os
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
@@ -29,6 +31,9 @@ class Scratch:
             if not spark.sparkContext.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="enrichlake-llm-")
+        # Workers import these functions by name; where they see this folder, they need no further path.
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
         self.spark = spark
         self.folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -36,9 +41,15 @@ class Scratch:
         return f"{self.folder}/{name}"
 
     def store(self, df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-        """Write `df` as Parquet and read it back: lineage ends here, and later reads see fixed rows."""
+        """Write `df` as Parquet and read it back: lineage ends here, and later reads see fixed rows.
+
+        Shuffle files of the steps before are of no use any more. Spark deletes them once the driver has found
+        their plans to be garbage, so it is asked to look now rather than after its half hour.
+        """
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(self.path(name))
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
@@ -40,7 +40,7 @@ WORDS = 3
 #: Similarity as whole percent.
 PERCENT = 90
 #: Counters of the frequency table and the number of rows that carry it.
-COUNTERS, CHUNKS = 1 << 20, 64
+COUNTERS, CHUNKS = 1 << 21, 64
 ROUNDS = 4
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,6 +80,17 @@ def prefix_length(n: int, percent: int) -> int:
     return n + (percent * n) // -100 + 1 if n else 0
 
 
+def enough(n: Column, m: Column, shared: Column, percent: int) -> Column:
+    """Whether sets of n and m that share `shared` prefix shingles can be similar.
+
+    Of two sets, the one whose prefix ends first in the common order shares no more than `shared` of its prefix and
+    the rest of its set.
+    """
+    rest = lambda k: -F.floor(-percent * k / 100) - 1  # noqa: E731  what lies behind the prefix
+    least = -F.floor(-percent * (n + m) / (100 + percent))
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (shared + F.greatest(rest(n), rest(m)) >= least)
+
+
 def _counters(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
@@ -259,33 +270,44 @@ class Join:
 
     def rounds(self) -> DataFrame:
         """Compare each group with the head that shares most of its prefix, until few pairs are left to compare."""
-        labels, before = self.current("labels-0"), None
+        labels = self.current("labels-0")
+        size = self.nodes.groupBy("node").agg(F.min("n").alias("m")).select(F.col("node").alias("lead"), "m")
         for i in range(ROUNDS + 1):
             open_ = self.open_tokens(labels, f"round-{i}")
-            left, heads = open_.where("component <> main").agg(F.coalesce(F.sum("total"), F.lit(0)), F.countDistinct("head")).first()
-            if i == ROUNDS or left <= 4 * heads or left == before:
-                return open_
-            before = left
-            best = F.max(F.struct("c", -F.col("lead"))).alias("m")
+            apart = open_.where("component <> main")
+            left, heads = apart.agg(F.coalesce(F.sum("total"), F.lit(0)), F.countDistinct("head")).first()
+            if i == ROUNDS or left <= 4 * heads:
+                break
             pairs = (
-                open_.where("component <> main")
-                .groupBy("head", "lead")
+                apart.groupBy("head", "n", "lead")
                 .agg(F.count(F.lit(1)).alias("c"))
+                .join(size, "lead")
+                .where(enough(F.col("n"), F.col("m"), F.col("c"), self.percent))
                 .groupBy("head")
-                .agg(best)
-                .select(F.col("head").alias("a"), (-F.col("m.col2")).alias("b"))
+                .agg(F.max(F.struct(F.col("c"), (-F.col("lead")).alias("minus"))).alias("best"))
+                .select(F.col("head").alias("a"), (-F.col("best.minus")).alias("b"))
             )
-            self.compare(pairs)
+            gained = self.compare(pairs).where("linked").count()
+            if not gained:
+                break
             labels = self.current(f"labels-{i + 1}")
-        raise AssertionError
+        return open_
 
     def rest(self, open_: DataFrame) -> None:
-        """Every pair of groups that shares a shingle, fits in size and lies in different components."""
-        few = open_.where("component <> main").select("token", F.col("head").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("main").alias("ma"))
-        all_ = open_.select("token", F.col("head").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        fits = (100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")) & (F.col("ca") != F.col("cb"))
-        once = (F.col("cb") == F.col("ma")) | (F.col("a") < F.col("b"))
-        pairs = few.join(all_, "token").where(fits & once).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        """Every pair of groups whose prefixes share enough, that fits in size and lies in different components."""
+        few = open_.where("component <> main").select("token", F.col("head").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("main").alias("mx"))
+        all_ = open_.select("token", F.col("head").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
+        fits = (100 * F.least("nx", "ny") >= self.percent * F.greatest("nx", "ny")) & (F.col("cx") != F.col("cy"))
+        once = (F.col("cy") == F.col("mx")) | (F.col("x") < F.col("y"))
+        pairs = (
+            few.join(all_, "token")
+            .where(fits & once)
+            .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("nx", "ny").alias("na"), F.greatest("nx", "ny").alias("nb"))
+            .agg(F.count(F.lit(1)).alias("c"))
+            .where(enough(F.col("na"), F.col("nb"), F.col("c"), self.percent))
+            .select("a", "b")
+            .distinct()
+        )
         found = self.compare(pairs)
         # Members lie within `reach` of their head; two of them are similar only if the heads are that near.
         reach = self.inside.where("node <> head").groupBy("head").agg(F.max("reach").alias("reach"))
