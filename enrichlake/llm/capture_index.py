@@ -245,3 +245,16 @@ def archive(pages: DataFrame) -> DataFrame:
 def op9_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = archive(common.table(spark, sf_dir, "pages"))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
+
+
+SQL = r"""
+WITH p AS (SELECT page_id, lower(coalesce(url, '')) AS u, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+  d AS (SELECT *, array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform(range(4), lambda k:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, 5 * i + 1, 5) AS INTEGER) >> (15 - 5 * k)::INTEGER) & 31) + 1, 1)), '')), '') AS payload_digest,
+    max(page_id) OVER (PARTITION BY h) AS first_,
+    regexp_replace(regexp_extract(u, '^[a-z][a-z0-9+.-]*://([^/?#]*)', 1), '^www\d*\.', '') AS host, regexp_extract(u, '^[a-z][a-z0-9+.-]*://[^/?#]*([^#]*)', 1) AS rest FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_ THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_ THEN first_ END AS refers_to,
+  array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END AS url_key,
+  strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured
+FROM d
+"""

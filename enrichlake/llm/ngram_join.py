@@ -355,3 +355,15 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(common.table(spark, sf_dir, "documents"))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+  l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+  e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+  r(doc_id, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.c)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(min(c), w.doc_id) AS component_id FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY w.doc_id, n.n
+"""

@@ -19,5 +19,8 @@ QUERIES = {
 
 SQL = {
     "op1_mixing": mixing.SQL,
+    "op2_secret_ledger": secret_ledger.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op9_capture_index": capture_index.SQL,
+    "op10_ngram_join": ngram_join.SQL,
 }

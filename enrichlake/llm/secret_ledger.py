@@ -146,3 +146,24 @@ def op2_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.Scratch(spark, "secret-ledger").path("ledger")
     scan(docs, path)
     return by_path(docs, ledger(spark, path), ["doc_id"])
+
+
+def _sql_rule(place: int, rule: Rule) -> str:
+    pattern = rule.pattern.replace(r"\"", '"').replace("'", "''").replace(r"\''", "''")
+    found = [f"string_split_regex(text, '{pattern}')", *(f"regexp_extract_all(text, '{pattern}', {g})" for g in (0, rule.group))]
+    return f"SELECT doc_id, '{rule.kind}' AS kind, {place} AS place, {rule.least} AS least, {', '.join(f'{x} AS {n}' for x, n in zip(found, ('gaps', 'hits', 'counted'), strict=True))} FROM t"
+
+
+SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+  m AS ({" UNION ALL ".join(_sql_rule(i, r) for i, r in enumerate(RULES))}),
+  e AS (SELECT doc_id, kind, place, least, unnest(gaps[:len(hits)]) AS gap, unnest(hits) AS hit, unnest(counted) AS counted, unnest(range(len(hits))) AS i FROM m),
+  s AS (SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, place ORDER BY i) AS e FROM e),
+  f AS (SELECT doc_id, kind, place, (e - length(hit))::BIGINT AS s, e::BIGINT AS e FROM s WHERE length(counted) >= least),
+  g AS (SELECT doc_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access, count(*) FILTER (place = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (place < 3) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans FROM f GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN g USING (doc_id)
+"""
