@@ -278,13 +278,16 @@ class Join:
             left, heads = apart.agg(F.coalesce(F.sum("total"), F.lit(0)), F.countDistinct("head")).first()
             if i == ROUNDS or left <= 4 * heads:
                 break
+            # What a group shares with all leads of a component bounds what it shares with one of its members.
+            by_lead = apart.groupBy("head", "n", "main", "lead").agg(F.count(F.lit(1)).alias("c")).join(size, "lead")
+            best = F.max(F.struct("fits", "c", (-F.col("lead")).alias("minus")))
             pairs = (
-                apart.groupBy("head", "n", "lead")
-                .agg(F.count(F.lit(1)).alias("c"))
-                .join(size, "lead")
-                .where(enough(F.col("n"), F.col("m"), F.col("c"), self.percent))
+                by_lead.withColumn("fits", 100 * F.least("n", "m") >= self.percent * F.greatest("n", "m"))
+                .groupBy("head", "n", "main")
+                .agg(F.sum("c").alias("all"), best.alias("best"))
+                .where(F.col("best.fits") & enough(F.col("n"), F.col("n"), F.col("all"), self.percent))
                 .groupBy("head")
-                .agg(F.max(F.struct(F.col("c"), (-F.col("lead")).alias("minus"))).alias("best"))
+                .agg(F.max(F.struct("all", "best.minus")).alias("best"))
                 .select(F.col("head").alias("a"), (-F.col("best.minus")).alias("b"))
             )
             gained = self.compare(pairs).where("linked").count()
@@ -295,9 +298,12 @@ class Join:
 
     def rest(self, open_: DataFrame) -> None:
         """Every pair of groups whose prefixes share enough, that fits in size and lies in different components."""
-        few = open_.where("component <> main").select("token", F.col("head").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"), F.col("main").alias("mx"))
-        all_ = open_.select("token", F.col("head").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-        fits = (100 * F.least("nx", "ny") >= self.percent * F.greatest("nx", "ny")) & (F.col("cx") != F.col("cy"))
+        # A pair shares no more shingles than either of its groups has here; that keeps hopeless pairs from being made.
+        most = open_.groupBy("head").agg(F.countDistinct("token").alias("k"))
+        open_ = self.scratch.store(open_.join(most, "head"), "open")
+        few = open_.where("component <> main").select("token", F.col("head").alias("x"), F.col("n").alias("nx"), F.col("k").alias("kx"), F.col("component").alias("cx"), F.col("main").alias("mx"))
+        all_ = open_.select("token", F.col("head").alias("y"), F.col("n").alias("ny"), F.col("k").alias("ky"), F.col("component").alias("cy"))
+        fits = enough(F.col("nx"), F.col("ny"), F.least("kx", "ky"), self.percent) & (F.col("cx") != F.col("cy"))
         once = (F.col("cy") == F.col("mx")) | (F.col("x") < F.col("y"))
         pairs = (
             few.join(all_, "token")
