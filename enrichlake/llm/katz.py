@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from . import common
 
 K = 5
-#: Tokens of a block.
-BLOCK = 2_000_000
+#: Tokens of a block; with the number of buckets (two for each part of a shuffle) it decides what a worker holds.
+BLOCK = 1_000_000
 END_HASH = np.uint64(xxhash.xxh64_intdigest(b""))
 BITS = 32
 LOW = (1 << BITS) - 1
@@ -387,7 +387,7 @@ RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, trai
 def score_documents(docs: DataFrame) -> DataFrame:
     """RESULT rows; documents whose crc32 of the id, as text, leaves 1 by 5 are held out of training."""
     spark = docs.sparkSession
-    scratch, buckets = common.Scratch(spark, "katz"), common.slices(spark)
+    scratch, buckets = common.Scratch(spark, "katz"), 2 * common.slices(spark)
     plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = scratch.store(plain.mapInArrow(_blocks(buckets), BLOCK_KIND), "blocks")
     asked = blocks.where("bucket >= 0")
