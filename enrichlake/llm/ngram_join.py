@@ -6,7 +6,8 @@ frequencies from a table of hashed counters of fixed size, filled from all docum
 one keeps passages that very many documents share out of the prefixes.
 
 Equal sets are one node. Nodes with the same prefix and the same size form a group, and only the group's first node
-stands in the inverted index. Members are checked against it; one that is not similar becomes a group of its own.
+stands in the inverted index. Members are checked against it; one that is not similar becomes a group of its own, with its
+whole prefix in the index.
 
 Which candidate pairs have to be compared is decided per component, as only components are asked for. First each
 group is compared with one group that shares most of its prefix, in rounds, which joins nearly all of a family of
@@ -231,6 +232,7 @@ class Join:
         # The index: a row for each prefix shingle of each group, if another group has it too.
         heads = self.groups.join(self.nodes.select("node", "pkey", "n"), "pkey").where("node = head").select("head", "n")
         whole = named.select(F.col("doc_id").alias("head"), "n", "prefix").join(heads, ["head", "n"], "left_semi")
+        self.whole = whole
         prefixes = whole.select("head", "n", F.explode("prefix").alias("token"))
         shared = prefixes.groupBy("token").agg(F.min("head").alias("lo"), F.max("head").alias("hi")).where("lo < hi")
         self.index = self.scratch.store(prefixes.join(shared.select("token"), "token", "left_semi"), "index")
@@ -251,9 +253,12 @@ class Join:
             found.select(F.col("a").alias("node"), F.when(F.col("linked"), F.col("b")).otherwise(F.col("a")).alias("head"), F.when(F.col("linked"), F.col("distance")).otherwise(0.0).alias("reach")),
             "inside",
         )
+        # A stray shares its whole prefix with its head: all of it is held by two heads now, also what no other group has.
         strays = found.where("NOT linked").select(F.col("a").alias("stray"), F.col("b").alias("head"))
-        index = self.index.unionByName(self.index.join(strays, "head").select(F.col("token"), F.col("stray").alias("head"), "n").select(self.index.columns))
-        self.index = self.scratch.store(index, "index-all").distinct()
+        own = self.whole.join(strays.select("head").distinct(), "head", "left_semi")
+        own = own.unionByName(own.join(strays, "head").select(F.col("stray").alias("head"), "n", "prefix"))
+        own = own.select("head", "n", F.explode("prefix").alias("token")).select(self.index.columns)
+        self.index = self.scratch.store(self.index.unionByName(own), "index-all").distinct()
 
     def open_tokens(self, labels: DataFrame, name: str) -> DataFrame:
         """Index rows of the shingles that several components share, with the largest component of the shingle."""

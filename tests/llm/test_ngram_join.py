@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from odd_rows import TEXTS, documents, nothing, sf
 
@@ -61,6 +62,36 @@ def test_families_of_near_copies(spark, words, percent):
     assert linked(documents(spark, rows), words=words, percent=percent) == components_of(rows, words, percent)
 
 
+def same_prefix_chain(name, edits):
+    """A text of 100 shingles and copies of it, each with `edits` further words changed behind the shared prefix."""
+
+    def key(words):
+        found = np.sort(ngram_join.shingle_sets([" ".join(words).encode()])[0])
+        return len(found), found[: ngram_join.prefix_length(len(found), 90)].tobytes()
+
+    chain, at = [[f"{name}{i}" for i in range(102)]], 3
+    for changed in edits:
+        words = list(chain[-1])
+        while changed:
+            tried = [*words[:at], f"{name}x{at}", *words[at + 1 :]]
+            if key(tried) == key(words):
+                words, changed = tried, changed - 1
+            at += 4
+        chain.append(words)
+    return [" ".join(words) for words in chain]
+
+
+def test_links_inside_one_prefix_group(spark, monkeypatch):
+    # Where all shingles count alike, their hashes order them, and near copies share their whole prefix.
+    monkeypatch.setattr(ngram_join, "frequencies", lambda *_: np.zeros(ngram_join.COUNTERS, np.int64))
+    chains = [same_prefix_chain("a", [1, 1]), same_prefix_chain("b", [2, 1]), same_prefix_chain("c", [2, 1, 1])]
+    rows = [(10 * k + i, text, "en", "s") for k, chain in enumerate(chains) for i, text in enumerate(chain)]
+    want = components_of(rows)
+    # Member and stray; two strays; strays in a row. Heads are apart from strays.
+    assert {i: c for i, _, c in want} == {0: 0, 1: 0, 2: 0, 10: 10, 11: 11, 12: 11, 20: 20, 21: 21, 22: 21, 23: 21}
+    assert linked(documents(spark, rows)) == want
+
+
 def test_odd_rows_and_given_documents(spark):
     assert linked(documents(spark)) == components_of(TEXTS)
     rows = [(r["doc_id"], r["text"]) for r in sf(spark, "documents").collect()]
