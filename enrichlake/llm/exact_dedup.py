@@ -14,7 +14,7 @@ Equal means identical after deleting [\\x20\\x09-\\x0D]. The row with the most c
 
 Defined results: a NULL text counts as empty; all empty texts are one group. A NULL id orders behind all others. Rows
 that share an id and a digest are one document: they stay or go together in `decisions`, and `kept_documents`
-returns one of them. Columns other than id and text are not read.
+returns the longest of them. Rows that share only the id, or have none, are told apart by their digest. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -217,14 +217,26 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
+def _text_digests(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: hashlib.sha256((t or b"").translate(None, common.WHITESPACE)).digest())
+
+
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of equal texts, with the columns of `docs` as they are."""
     scratch = common.Scratch(docs.sparkSession, "exact-dedup-kept")
-    stay = scratch.store(decisions(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_stays")).distinct(), "stay")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    # Repeated rows share an id; one of them is handed on. The join has already dealt rows by id.
-    one = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stays")), "left_semi").groupBy("_id").agg(F.first("_row").alias("_row"))
-    return one.select("_row.*")
+    key = lambda c: (c.isNull().alias("_none"), F.coalesce(c, F.lit(0)).alias("_id"))
+    kept = decisions(docs, id_col, text_col).where("kept")
+    stay = scratch.store(kept.select(*key(F.col("doc_id")), F.unhex("text_sha256").alias("_digest")).distinct(), "stay")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(
+        *key(F.col(id_col).cast("bigint")),
+        F.pandas_udf(_text_digests, "binary")(text.cast("binary")).alias("_digest"),
+        F.struct(F.coalesce(F.length(text), F.lit(0)), F.xxhash64(text)).alias("_best"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+    )
+    # Of rows that share id and digest the longest is handed on; they are reduced within each task before rows move.
+    one = rows.groupBy("_none", "_id", "_digest").agg(F.max_by("_row", "_best").alias("_row"))
+    return one.join(stay, ["_none", "_id", "_digest"]).select("_row.*")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,6 +80,16 @@ def test_exact_dedup(spark):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter({r[0] for r in dedup_of(TEXTS) if r[3]})
 
 
+def test_kept_rows_share_an_id_or_have_none(spark):
+    given = [
+        (None, "alpha beta"), (6, "alphabeta"), (None, "gamma"), (None, "gamma"), (None, "delta"), (None, None),
+        (5, "one text"), (5, "another text"), (4, "a copy"), (5, "a copy"), (None, "a copy"), (7, "a b"), (7, "a  b"), (0, "zero"),
+    ]
+    kept = exact_dedup.kept_documents(documents(spark, [(*r, "en", "s") for r in given]))
+    want = [(None, "alpha beta"), (None, "gamma"), (None, "delta"), (None, None), (5, "one text"), (5, "another text"), (4, "a copy"), (7, "a  b"), (0, "zero")]
+    assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(want)
+
+
 def test_history_does_not_change_groups(spark):
     rows = exact_dedup.digested(sf(spark, "documents"))
     whole = {tuple(r) for r in exact_dedup.group_documents(rows, common.Scratch(spark, "t")).select("digest", "keep_id", "keep_len", "size").collect()}
