@@ -37,15 +37,16 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], n], names=[*part.schema.names[:-1], "tokens"])
 
 
-def counted(docs: DataFrame, domain: str) -> DataFrame:
-    """(doc_id, domain, lang, source, tokens) of the documents that hold a token."""
+def counted(docs: DataFrame, domain: str, row_key: str | None = None) -> DataFrame:
+    """(doc_id, domain, lang, source, tokens) of the documents that hold a token; `row_key`, a bigint column, is carried along."""
     named = {"domain": F.expr(domain), "lang": F.col("lang"), "source": F.col("source")}
     plain = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         *[F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in named.items()],
+        *([F.col(row_key).alias("row_key")] if row_key else []),
         F.col("text").cast("string").alias("text"),
     )
-    kind = "doc_id bigint, domain string, lang string, source string, tokens bigint"
+    kind = f"doc_id bigint, domain string, lang string, source string, {'row_key bigint, ' if row_key else ''}tokens bigint"
     return plain.mapInArrow(_token_counts, kind).where("tokens > 0")
 
 
@@ -123,7 +124,8 @@ def leaf_shares(rows: DataFrame, budget: int | str, weights: Mapping[tuple[str,
 
 
 def selected(rows: DataFrame, shares: DataFrame, seed: int) -> DataFrame:
-    """(doc_id, levels, tokens, epoch, taken): a row per document and epoch in which some of it is taken."""
+    """(doc_id, levels, tokens, epoch, taken): a row per document and epoch in which some of it is taken, with its `row_key` if it has one."""
+    row_key = ["row_key"] if "row_key" in rows.columns else []
     joined = rows.join(shares.where("share > 0"), list(LEVELS)).withColumns({
         "passes": F.expr("share div leaf_tokens").cast("int"),
         "rest": F.col("share") % F.col("leaf_tokens"),
@@ -143,32 +145,34 @@ def selected(rows: DataFrame, shares: DataFrame, seed: int) -> DataFrame:
     )
     last = last.join(slots, [*LEVELS, "slot"])
     inside = last.where("slot_before + slot_tokens <= rest").withColumn("taken", F.col("tokens"))
-    within = Window.partitionBy(*LEVELS).orderBy("key", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*LEVELS).orderBy("key", "doc_id", "tokens", *row_key).rowsBetween(Window.unboundedPreceding, -1)
     edge = (
         last.where("slot_before + slot_tokens > rest")
         .withColumn("before", F.col("slot_before") + F.coalesce(F.sum("tokens").over(within), F.lit(0)))
         .where("before < rest")
         .withColumn("taken", F.least("tokens", F.col("rest") - F.col("before")))
     )
-    columns = ["doc_id", *LEVELS, "tokens", "epoch", "taken"]
+    columns = ["doc_id", *row_key, *LEVELS, "tokens", "epoch", "taken"]
     return whole.select(columns).unionByName(inside.select(columns)).unionByName(edge.select(columns))
 
 
-def mix(docs: DataFrame, domain: str, budget: int | str, weights: Mapping[tuple[str, ...], int], max_epochs: int = 4, seed: int = 0) -> DataFrame:
+def mix(docs: DataFrame, domain: str, budget: int | str, weights: Mapping[tuple[str, ...], int], max_epochs: int = 4, seed: int = 0, row_key: str | None = None) -> DataFrame:
     """The selection as rows; one pass over the texts."""
     scratch = common.Scratch(docs.sparkSession, "mixing")
-    rows = scratch.store(counted(docs, domain), "tokens")
+    rows = scratch.store(counted(docs, domain, row_key), "tokens")
     shares = scratch.store(leaf_shares(rows, budget, weights, max_epochs), "shares")
     return selected(rows, shares, seed)
 
 
 def mixed_documents(docs: DataFrame, domain: str, budget: int | str, weights: Mapping[tuple[str, ...], int], max_epochs: int, seed: int) -> DataFrame:
     """The documents as selected, once per epoch; the text of a document at a leaf's end is cut behind its last token."""
-    chosen = common.Scratch(docs.sparkSession, "mixed").store(
-        mix(docs, domain, budget, weights, max_epochs, seed).select(F.col("doc_id").alias("_mixed"), "epoch", (F.col("taken") < F.col("tokens")).alias("_cut"), "taken"), "chosen"
-    )
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    joined = rows.join(chosen, F.col("_id").eqNullSafe(F.col("_mixed")))
+    scratch = common.Scratch(docs.sparkSession, "mixed")
+    # Ids may repeat or be missing, so each row has a key of its own; stored, as keys are given anew by each reading.
+    keyed = docs.select(F.monotonically_increasing_id().alias("_mixed"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    keyed = scratch.store(keyed, "rows")
+    taken = mix(keyed.select("_mixed", "_row.*"), domain, budget, weights, max_epochs, seed, "_mixed")
+    chosen = scratch.store(taken.select(F.col("row_key").alias("_mixed"), "epoch", (F.col("taken") < F.col("tokens")).alias("_cut"), "taken"), "chosen")
+    joined = keyed.join(chosen, "_mixed")
     head = F.array_join(F.slice(F.regexp_extract_all(F.col("_row.text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), F.col("taken").cast("int")), "")
     text = F.when(F.col("_cut"), head).otherwise(F.col("_row.text"))
     row = F.col("_row").withField("text", text)

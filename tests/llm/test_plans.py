@@ -56,6 +56,17 @@ def test_mixed_documents_are_cut_behind_a_token(spark):
     assert mixing.mix(nothing(spark), "'one'", "supply", {}).count() == 0
 
 
+@pytest.mark.parametrize(("budget", "epochs"), [(55, 1), (150, 2)])
+def test_rows_of_one_id_are_taken_one_by_one(spark, budget, epochs):
+    given = [" ".join(f"r{k}w{i}" for i in range(10)) for k in range(10)]
+    rows = [(1 if k < 6 else None, t, "en", "s") for k, t in enumerate(given)]
+    texts = [r["text"] for r in mixing.mixed_documents(documents(spark, rows), "'one'", budget, {}, epochs, 1).collect()]
+    assert sum(len(t.split()) for t in texts) == budget
+    # No row comes more than once per epoch, whole or cut.
+    assert max(Counter(t.split()[0] for t in texts).values()) == epochs and len(texts) == -(-budget // 10)
+    assert sum(t not in given for t in texts) == (budget % 10 > 0)
+
+
 # --- sharding
 
 
