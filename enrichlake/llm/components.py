@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def components(edges: DataFrame, scratch: common.Scratch, name: str) -> DataFram
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), f"{name}-0"
     )
     mark = None
-    for i in range(1, 100):
+    for i in count(1):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")).select("w", F.least("w", "m").alias("m"))
         large = both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v"))

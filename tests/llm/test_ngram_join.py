@@ -7,6 +7,7 @@ import pytest
 from odd_rows import TEXTS, documents, nothing, sf
 
 from enrichlake.llm import common, ngram_join
+from enrichlake.llm import components as components_module
 from enrichlake.llm.components import components
 
 
@@ -104,3 +105,11 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 50), (50, 70), (7, 7)]
     got = {tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long"), common.Scratch(spark, "t"), "c").collect()}
     assert got == {(i, 0) for i in range(41)} | {(50, 50), (70, 50), (100, 50)}
+
+
+def test_components_end_only_when_nothing_changes(spark, monkeypatch):
+    # A bound of rounds, were there one, would be over after the first.
+    monkeypatch.setattr(components_module, "range", lambda *_: [1], raising=False)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    got = {tuple(r) for r in components(edges, common.Scratch(spark, "t"), "c").collect()}
+    assert got == {(i, 0) for i in range(41)}
