@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import capture_index, exact_dedup, katz, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding, site_quality
+from . import alignment, capture_index, exact_dedup, katz, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding, site_quality
 
 QUERIES = {
     "op9_capture_index": capture_index.op9_capture_index,
@@ -15,6 +15,7 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op11_alignment": alignment.op11_alignment,
 }
 
 SQL = {
