@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import alignment, capture_index, exact_dedup, katz, mixing, ngram_join, packing, quality_rules, secret_ledger, sharding, site_quality
+from . import (
+    alignment,
+    capture_index,
+    collocations,
+    exact_dedup,
+    katz,
+    mixing,
+    neighbours,
+    ngram_join,
+    packing,
+    quality_rules,
+    secret_ledger,
+    sharding,
+    site_quality,
+)
 
 QUERIES = {
     "op9_capture_index": capture_index.op9_capture_index,
@@ -16,6 +30,8 @@ QUERIES = {
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op11_alignment": alignment.op11_alignment,
+    "op12_collocations": collocations.op12_collocations,
+    "op13_neighbours": neighbours.op13_neighbours,
 }
 
 SQL = {
@@ -24,4 +40,5 @@ SQL = {
     "op8_exact_dedup": exact_dedup.SQL,
     "op9_capture_index": capture_index.SQL,
     "op10_ngram_join": ngram_join.SQL,
+    "op12_collocations": collocations.SQL,
 }
