@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Bytes of text that a task gathers before it writes segments; a longer text is a segment of its own.
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 8 << 20
 #: n-grams counted at once.
 CHUNK = 1 << 20
 #: Slots that reach the merge of one range at most, on average.
@@ -118,19 +118,35 @@ def summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarr
     return [c[first] for c in columns], np.add.reduceat(counts[order], first)
 
 
+def counted(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Sorted distinct keys and how often each occurs."""
+    if len(columns) > 1:
+        return summed(columns, np.ones(len(columns[0]), np.int64))
+    keys = np.sort(columns[0])
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return [keys[first]], np.diff(np.append(first, len(keys)))
+
+
 # --- filters ---------------------------------------------------------------------------------------------------------
 
 
 def _bits_of(values: np.ndarray, width: int) -> bytes:
     """Numbers of `width` bits behind each other."""
-    out = []
+    out, size = [], -(-width // 8)
     for s in range(0, len(values), 1 << 17):  # a multiple of 8 numbers ends with a byte
-        bits = np.unpackbits(values[s : s + (1 << 17)].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        out.append(np.packbits(bits[:, 64 - width :]).tobytes())
+        low = values[s : s + (1 << 17)].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - size :]
+        bits = np.unpackbits(low, axis=1)
+        out.append(np.packbits(bits[:, 8 * size - width :]).tobytes())
     return b"".join(out)
 
 
 def _numbers_of(data: memoryview, n: int, width: int) -> np.ndarray:
+    if width <= 57:  # a number and what stands before it in its first byte fit 64 bits
+        held = np.frombuffer(bytes(data[: -(-n * width // 8)]) + bytes(8), np.uint8)
+        at = np.arange(n) * width
+        windows = np.ndarray(len(held) - 7, ">u8", held, strides=(1,))
+        shift = (64 - width - (at & 7)).astype(np.uint64)
+        return windows[at >> 3].astype(np.uint64) >> shift & np.uint64((1 << width) - 1)
     out = []
     for s in range(0, n, 1 << 17):
         k = min(n - s, 1 << 17)
@@ -206,8 +222,8 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def written() -> Iterator[pa.RecordBatch]:
         nonlocal segment
         for lang, texts in held.items():
-            flat = b" \n ".join(texts).replace(b"\n", b" \n ")
-            coded = pa.array(flat.split(b" "), pa.large_binary()).dictionary_encode()
+            flat = pa.array([b" \n ".join(texts).replace(b"\n", b" \n ")], pa.large_binary())
+            coded = pa.compute.split_pattern(flat, pattern=b" ").flatten().dictionary_encode()
             words = coded.dictionary.to_pylist()
             number = np.cumsum([w not in (b"", b"\n") for w in words]) - 1
             number[[i for i, w in enumerate(words) if w == b"\n"]] = -1
@@ -216,8 +232,9 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes = codes[codes > -2]
             words = [w.decode() for w in words if w not in (b"", b"\n")]
             times = np.bincount(codes[codes >= 0], minlength=len(words))
-            lists = [pa.array([words], pa.list_(pa.string())), pa.array([times], pa.list_(pa.int64())), pa.array([codes], pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([pa.array([segment]), pa.array([lang]), *lists], names=["segment", "lang", "words", "times", "codes"])
+            stored = codes.astype(np.uint16 if len(words) < 65535 else np.uint32).tobytes()  # -1 is the largest number
+            columns = [pa.array([words], pa.list_(pa.string())), pa.array([times], pa.list_(pa.int64())), pa.array([stored], pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array([segment]), pa.array([lang]), *columns], names=["segment", "lang", "words", "times", "codes"])
             segment += 1
         held.clear()
 
@@ -237,17 +254,17 @@ def _fragments(words: int, bits: int, known: int):
 
     def run(key: tuple, segments: pa.Table, numbers: pa.Table) -> pa.Table:
         out = []
-        for segment, codes in zip(segments.column("of").to_pylist(), segments.column("codes").combine_chunks(), strict=True):
-            codes = np.asarray(codes.values)
-            number = np.zeros(int(codes.max(initial=0)) + 2, np.int64)
+        for segment, n_words, codes in zip(*(segments.column(c).to_pylist() for c in ("of", "n_words", "codes")), strict=True):
+            codes = np.frombuffer(codes, np.uint16 if n_words < 65535 else np.uint32)
+            number = np.zeros(n_words + 1, np.int64)  # edges of pieces take the last place, which stays 0
             number[np.asarray(numbers.column("place"))] = np.asarray(numbers.column("id"))
-            ids = number[codes]  # -1 is the last place, which stays 0
+            ids = number[np.minimum(codes, n_words)]
             for length in range(2, words + 1):
                 for s in range(0, len(ids) - length + 1, CHUNK):
                     window = [ids[s + i : min(s + i + CHUNK, len(ids) - length + 1 + i)] for i in range(length)]
                     alive = np.all([w > 0 for w in window], axis=0)
                     keys = packed(permuted([w[alive] for w in window], bits), bits)
-                    keys, counts = summed(keys, np.ones(len(keys[0]), np.int64))
+                    keys, counts = counted(keys)
                     out += [(segment, length, *x) for x in _cut(keys, counts, length, bits, known)]
         columns = list(zip(*out, strict=True)) or [()] * 5
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, FRAGMENT, strict=True)], schema=FRAGMENT)
@@ -319,7 +336,7 @@ class Counted:
 
 def count_phrases(docs: DataFrame, scratch: common.Scratch, text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> Counted:
     plain = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
-    kind = "segment bigint, lang string, words array<string>, times array<bigint>, codes array<int>"
+    kind = "segment bigint, lang string, words array<string>, times array<bigint>, codes binary"
     segments = scratch.store(plain.mapInArrow(_segments, kind), "segments")
     each = segments.select("segment", "lang", F.posexplode(F.arrays_zip("words", "times")).alias("place", "x")).select(
         "segment", "lang", "place", F.col("x.words").alias("word"), F.col("x.times").alias("a")
@@ -335,7 +352,7 @@ def count_phrases(docs: DataFrame, scratch: common.Scratch, text_col: str = "tex
     first = min(known, FAN_BITS)
     numbers = each.select("segment", "place", "lang", "word").join(words.select("lang", "word", "id"), ["lang", "word"])
     filters = (
-        segments.select(F.col("segment").alias("of"), "codes").groupBy("of")
+        segments.select(F.col("segment").alias("of"), F.size("words").alias("n_words"), "codes").groupBy("of")
         .cogroup(numbers.select("segment", "place", "id").groupBy("segment"))
         .applyInArrow(_fragments(limits.words, bits, first), FRAGMENT_DDL)
     )
