@@ -38,7 +38,7 @@ SEED = 20240607
 #: Random differences by which the threshold is measured.
 TRIALS = 20_000
 #: Bytes of a block in memory; queries that meet a block in one task, and the least of them worth a task.
-BLOCK_BYTES = 96 << 20
+BLOCK_BYTES = 32 << 20
 PART_QUERIES = 1 << 14
 LEAST_QUERIES = 1 << 6
 
