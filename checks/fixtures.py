@@ -139,7 +139,34 @@ DRIFT_HISTORY = """
 select event_type as field, ts, event_id as seq, value > 150 as is_empty from events
 """
 
+# One client per nation and brand; lists are texts, parted by |.
+PROFILES = """
+select concat(n_name, '-', p_brand) as client_id, concat('Client ', p_brand) as name,
+  case k % 4 when 0 then 'Banking' when 1 then 'Banking|Financial Services' when 2 then 'Software Development' else '' end as industries,
+  case k % 3 when 0 then '11-50|51-200' when 1 then '' else '201-500' end as company_size_buckets,
+  case when k % 5 = 0 then '' when k % 5 = 1 then concat(n_name, '|NATION_0|NATION_1|NATION_2') else n_name end as hq_countries,
+  case when k % 7 = 0 then 'x' when k % 7 = 1 then 'nowhere' else '' end as hq_cities,
+  case when k % 6 = 0 then 'SegmentCo' when k % 6 = 1 then 'z|other' else '' end as technologies,
+  case k % 8 when 0 then concat('analytics|', lower(n_name)) when 1 then 'WE help' when 2 then 'an' else '' end as description_keywords,
+  case k % 9 when 0 then 'b2b saas' when 1 then 'retail data|b2b things' when 2 then 'tools of no kind at all' else '' end as products_and_services,
+  case when k % 10 = 0 then 's3.example.com|s6.example.com' else '' end as exclude_domains,
+  case k % 3 when 0 then 'Sales|Chief Executive Officer' when 1 then 'Partner' else '' end as people_job_title_include,
+  case when k % 6 = 0 then 'Assistant' else '' end as people_job_title_exclude
+from (select n_nationkey, n_name, p_brand, count(*) + n_nationkey * 7 + cast(replace(p_brand, 'Brand#', '') as int) * 11 as k
+  from nation cross join part group by n_nationkey, n_name, p_brand)
+"""
+
+# The names of all parts, and the first words of every benchmark passage and document, as a dictionary.
+ALIASES = """
+select p_partkey as ord, concat('part ', cast(p_partkey as string)) as code, p_brand as category, p_name as alias from part
+union all select 1000000000 + item_id, concat('passage ', cast(item_id as string)), 'benchmark',
+  regexp_extract(text, '^[A-Za-z]+ [a-z]+( [a-z]+)?') from benchmark
+union all select 2000000000 + doc_id, concat('opening ', cast(doc_id as string)), lang, regexp_extract(text, '^[A-Za-z]+ [a-z]+( [a-z]+)?') from documents
+"""
+
 FIXTURES = {
+    "profiles": PROFILES,
+    "aliases": ALIASES,
     "site_pages": SITE_PAGES,
     "detected": DETECTED,
     "companies": COMPANIES,
@@ -153,6 +180,8 @@ FIXTURES = {
 
 # Tables each fixture reads.
 READS = {
+    "profiles": ("nation", "part"),
+    "aliases": ("part", "benchmark", "documents"),
     "site_pages": ("documents",),
     "detected": ("part",),
     "companies": ("supplier", "nation"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,10 @@ from enrichlake.operators import page_fields as pf
 from enrichlake.operators import page_structure as ps
 from enrichlake.operators import quality, report
 from enrichlake.operators import triage as tr
+from enrichlake.operators.skew import number_rows
 from enrichlake.plans import pages as plan
+from enrichlake.plans.history import History
+from enrichlake.session import shared_folder
 from enrichlake.sources.writers import flatten
 
 from . import page_sql as s
@@ -109,12 +114,20 @@ def page_footer(spark, sf_dir):
     return site_pages(spark, sf_dir).select("page_id", ps.footer(md()).alias("footer"))
 
 
+HEADING = r"(?m)^(#{1,6})\s*(.+)$"
+
+
 @query(s.pages_sql(
-    "page_id, cast(unnest(range(len(titles))) as integer) as pos, cast(length(unnest(marks)) as integer) as level, unnest(titles) as title",
-    {"marks": "regexp_extract_all(md, '(?m)^(#{1,6})\\s*(.+)$', 1)",
-     "titles": f"list_transform(regexp_extract_all(md, '(?m)^(#{{1,6}})\\s*(.+)$', 2), lambda x: {s.trim('x')})"}))
+    "page_id, unnest(heads, recursive := true)",
+    {"marks": f"regexp_extract_all(md, '{HEADING}', 1)",
+     "titles": f"list_transform(regexp_extract_all(md, '{HEADING}', 2), lambda x: {s.trim('x')})",
+     "whole": f"regexp_extract_all(md, '{HEADING}', 0)",
+     "pieces": r"string_split_regex(md, '(?m)^#{1,6}\s*.+$')",
+     "ends": "list_transform(range(1, len(marks) + 1), lambda i: coalesce(list_min(list_filter(range(i + 1, len(marks) + 1), lambda j: length(marks[j]) <= length(marks[i]))), len(marks) + 1))",
+     "heads": "list_transform(range(1, len(marks) + 1), lambda i: {'pos': cast(i - 1 as integer), 'level': cast(length(marks[i]) as integer), 'title': titles[i], "
+              "'text': pieces[i + 1] || array_to_string(list_transform(range(i + 1, ends[i]), lambda j: whole[j] || pieces[j + 1]), '')})"}))
 def page_sections(spark, sf_dir):
-    return ps.page_sections(site_pages(spark, sf_dir)).select("page_id", "pos", "level", "title")
+    return ps.page_sections(site_pages(spark, sf_dir)).select("page_id", "pos", "level", "title", "text")
 
 
 @query(s.pages_sql("page_id, cast(unnest(range(len(parts))) as integer) as pos, unnest(parts) as paragraph",
@@ -353,9 +366,9 @@ HAS_ROLES = "page_id in (select page_id from strict_roles union all select page_
 
 
 def report_sql(select: str, tail: str = "") -> str:
-    """The usable pages' field report as rows (page_id, field, is_empty)."""
-    rows = " union all ".join(f"select page_id, {q_field} as field, {test} as is_empty from usable_pages" for q_field, test in
-                              ((s.q(f), e) for f, e in s.EMPTY.items()))
+    """The usable pages' field report as rows (page_id, field, ran, is_empty, source)."""
+    rows = " union all ".join(f"select page_id, {s.q(f)} as field, true as ran, {test} as is_empty, {s.SOURCE[f]} as source from usable_pages"
+                              for f, test in s.EMPTY.items())
     derived = "".join(f", {expr} as {name}" for g in ALL for name, expr in g.items())
     ctes = (
         f", {s.CAREERS_CTES}, usable_pages as (select *, {HAS_ROLES} as has_roles from (select page_id, source_url, company_name, "
@@ -365,9 +378,71 @@ def report_sql(select: str, tail: str = "") -> str:
     return with_fixtures("site_pages", body=ctes)
 
 
-@query(report_sql("page_id, field, is_empty"))
+@query(report_sql("page_id, field, ran, is_empty, source"))
 def field_report(spark, sf_dir):
-    return quality.explode_report(gated(spark, sf_dir), "page_id").select("page_id", "field", "is_empty")
+    return quality.explode_report(gated(spark, sf_dir), "page_id").select("page_id", "field", "ran", "is_empty", "source")
+
+
+def launch_year() -> pf.FieldJob:
+    """The first stated year of foundation; a page that states none is an error of this job."""
+
+    def read(text: str) -> int:
+        found = re.search(r"Founded in ([0-9]{4})", text)
+        if not found:
+            raise ValueError("no year of launch")
+        return int(found[1])
+
+    return pf.python_job("launch_year", read, "int")
+
+
+def vendor_number() -> pf.FieldResult:
+    """A number out of the company's name; other names are reported as what they are."""
+    name = F.col("company_name")
+    bad = ~F.startswith(name, F.lit("Vendor "))
+    return pf.FieldResult(F.split(name, " ")[1].cast("int"), error=F.when(bad, F.concat(F.lit("no number in "), name)))
+
+
+#: A Python job, a job whose expression raises (a cast of any text to a date) and one that names its error.
+FAILING_JOBS = (
+    pf.FieldJob("domain_normalize", pf.domain_normalize),
+    launch_year(),
+    pf.FieldJob("raw_year", lambda: pf.FieldResult(F.year(F.col("raw_date").cast("date")), F.lit("context")), isolated=True),
+    pf.FieldJob("vendor_number", vendor_number),
+    pf.FieldJob("after_launch", lambda: pf.FieldResult(F.col("launch_year") + 1), depends_on=("launch_year",)),
+)
+LAUNCH = "regexp_extract(md, 'Founded in ([0-9]{4})', 1)"
+FAILURES = {
+    "relevant": s.RELEVANT,
+    "usable": "crawl_issue = 'none' and relevant",
+    "domain": s.FIELD_COLUMNS["domain"],
+    "launch_year": f"case when usable then cast(nullif({LAUNCH}, '') as integer) end",
+    "no_launch": f"usable and {LAUNCH} = ''",
+    "raw_year": "case when usable then year(try_cast(raw_date as date)) end",
+    "no_date": "usable and raw_date is not null and try_cast(raw_date as date) is null",
+    "no_number": "usable and coalesce(company_name not like 'Vendor %', false)",
+    "vendor_number": "case when usable and not no_number then cast(nullif(split_part(company_name, ' ', 2), '') as integer) end",
+}
+
+
+@query(s.pages_sql(
+    "page_id, case when usable then domain end as domain, launch_year, raw_year, vendor_number, launch_year + 1 as after_launch, "
+    "concat_ws('|', case when no_launch then 'launch_year=ValueError: no year of launch' end, "
+    "case when no_date then 'raw_year=raw_year: evaluation raised an error' end, "
+    "case when no_number then 'vendor_number=no number in ' || company_name end) as errors, "
+    "concat_ws('|', case when usable then 'domain_normalize' end, case when usable and not no_launch then 'launch_year' end, case when usable and not no_date then 'raw_year' end, "
+    "case when usable and not no_number then 'vendor_number' end, case when usable then 'after_launch' end) as ran, "
+    "case when usable and raw_year is not null then 'context' end as raw_year_source", s.TRIAGE_COLUMNS, FAILURES))
+def field_failures(spark, sf_dir):
+    """Jobs that fail on some pages leave those pages' other fields, and all other pages, as they are."""
+    rows = plan.gate_pages(site_pages(spark, sf_dir), {}, FAILING_JOBS)
+    report = F.filter("function_report", lambda r: r["ran"])
+    year = F.filter("function_report", lambda r: (r["field"] == "raw_year") & ~r["is_empty"])
+    return rows.select(
+        "page_id", F.col("domain_normalize").alias("domain"), "launch_year", "raw_year", "vendor_number", "after_launch",
+        F.array_join(F.transform("field_errors", lambda e: F.concat_ws("=", e["field"], e["error"])), "|").alias("errors"),
+        joined(F.transform(report, lambda r: r["field"]), "ran"),
+        t.first_or_null(F.transform(year, lambda r: r["source"])).alias("raw_year_source"),
+    )
 
 
 TOLERANCE = "(values " + ", ".join(f"({s.q(f)}, {c.null_tolerance_pct})" for f, c in PAGE_CONTRACTS.items()) + ") as k(field, null_tolerance_pct)"
@@ -416,9 +491,9 @@ def run_history(spark, sf_dir):
 GROUPS = "(values " + ", ".join(f"({s.q(n)}, {s.q(g)})" for g, names in cat.AUDIT_GROUPS.items() for n in names) + ") as g(field, grp)"
 
 
-@query(report_sql('grp as "group", field, is_empty, count(*) as pages', f"join {GROUPS} using (field) group by 1, 2, 3"))
+@query(report_sql("""grp as "group", field, is_empty, coalesce(source, 'empty') as source, count(*) as pages""", f"join {GROUPS} using (field) group by 1, 2, 3, 4"))
 def audit_view(spark, sf_dir):
-    return report.audit_view(gated(spark, sf_dir)).groupBy("group", "field", "is_empty").agg(F.count(F.lit(1)).alias("pages"))
+    return report.audit_view(gated(spark, sf_dir)).groupBy("group", "field", "is_empty", "source").agg(F.count(F.lit(1)).alias("pages"))
 
 
 @query(s.pages_sql("page_id, case when len(languages) > 0 then '[\"' || array_to_string(languages, '\",\"') || '\"]' else '[]' end as languages, "
@@ -443,13 +518,34 @@ def dead_letters(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("records"), F.sum(F.length("raw_input")).alias("raw_chars"))
 
 
-@query(report_sql(
+PAGE_DRIFT_SQL = report_sql(
     "page_id, array_to_string(list(('drift_warning:' || field) order by ord), '|') as drift_warnings from (select *, "
     "count(*) over w as n, coalesce(sum(is_empty::int) over w, 0) as k, avg(is_empty::int) over w as mean, stddev_samp(is_empty::int) over w as sd "
     "from field_rows join (values " + ", ".join(f"({s.q(f)}, {i})" for i, f in enumerate(s.EMPTY)) + ") as o(field, ord) using (field) "
     "window w as (partition by field order by page_id rows between 19 preceding and 1 preceding)) "
-    "where is_empty and n >= 5 and 1.0 > least(mean + 2 * sd, 1.0) group by page_id --"))
+    "where is_empty and n >= 5 and 1.0 > least(mean + 2 * sd, 1.0) group by page_id --") + "\n"
+
+
+@query(PAGE_DRIFT_SQL)
 def page_drift_warnings(spark, sf_dir):
     rows = gated(spark, sf_dir)
     warned = plan.drift_warnings(rows, "page_id", [j.name for j in pf.PAGE_JOBS if j.reported])
     return warned.select("page_id", joined(F.col("drift_warnings"), "drift_warnings"))
+
+
+@query(f"select g.page_id, g.is_valid_row, coalesce(w.drift_warnings, '') as drift_warnings, row_number() over (order by g.is_valid_row desc, g.page_id) as pos "
+       f"from ({GATED_SQL}) g left join ({PAGE_DRIFT_SQL}) w on w.page_id = g.page_id")
+def process_batch(spark, sf_dir):
+    """Q12 as two batches over a kept history, the second sent twice; each comes out valid rows first."""
+    pages = site_pages(spark, sf_dir)
+    middle = table(spark, sf_dir, "documents").agg(F.floor(F.avg("doc_id"))).first()[0]
+    kept = History(spark, shared_folder(spark, "batches"))
+    stamp = F.lit("2026-01-01").cast("timestamp")
+    out = []
+    for batch, rows in (("a", pages.where(F.col("page_id") <= middle)), ("b", pages.where(F.col("page_id") > middle)), ("b", pages.where(F.col("page_id") > middle))):
+        done = plan.process_delivery(rows, kept, batch, run_timestamp=stamp)
+        # What the order of a batch says is kept as a number, as the two batches meet below.
+        out.append(done.select("page_id", "is_valid_row", joined(F.col("drift_warnings"), "drift_warnings"), F.monotonically_increasing_id().alias("at")))
+    both = out[0].withColumn("batch", F.lit(0)).unionByName(out[-1].withColumn("batch", F.lit(1)))
+    numbered = number_rows(both.withColumn("rejected", ~F.col("is_valid_row")), ["rejected", "batch", "at"])
+    return numbered.select("page_id", "is_valid_row", "drift_warnings", F.col("rn").cast("bigint").alias("pos"))

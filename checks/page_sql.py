@@ -274,6 +274,16 @@ EMPTY = {
 }
 
 
+# Where a reported field says it came from; a field that holds nothing says nothing unless named here.
+FOUND_IN = {
+    "domain_normalize": "case when domain is not null then 'context' end",
+    "company_description_extract": f"case when {null_if_blank(trim('company_description'))} is not null then 'context' when description is not null then 'markdown' end",
+    "business_model": "case when billing_hint is not null then 'context' when coalesce(pricing_primary, offering_primary, delivery) is not null then 'markdown' end",
+    "company_entity_resolve": "entity_source",
+}
+SOURCE = {f: FOUND_IN.get(f, f"case when not coalesce({test}, true) then 'markdown' end") for f, test in EMPTY.items()}
+
+
 def pages_sql(select: str, *columns: dict[str, str]) -> str:
     """`select` over the site pages with the given derived columns in reach."""
     derived = "".join(f",\n  {expr} as {name}" for group in columns for name, expr in group.items())

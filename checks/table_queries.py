@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from enrichlake.contracts import company_contracts, person_contracts
+from enrichlake.contracts import Contract, company_contracts, person_contracts
 from enrichlake.functions import catalogs as cat
 from enrichlake.functions import profiles as pr
-from enrichlake.operators import bronze, drift, icp, people, quality, resolve
+from enrichlake.operators import bronze, drift, icp, icp_many, people, quality, resolve
 from enrichlake.operators import profiles as pj
 from enrichlake.plans import companies as cp
 from enrichlake.plans import pages as plan
-from enrichlake.session import checkpointed
-from enrichlake.sources import readers
+from enrichlake.plans.history import History
+from enrichlake.plans.resolution import Resolution
+from enrichlake.session import checkpointed, shared_folder
+from enrichlake.sources import readers, writers
 
 from . import page_sql as s
 from .fixtures import fixture, table, with_fixtures
@@ -38,6 +42,41 @@ def drift_flags(spark, sf_dir):
     )
 
 
+def drift_deliveries(spark, sf_dir) -> list[DataFrame]:
+    """The observations in four parts of the time they span."""
+    rows = fixture(spark, sf_dir, "drift_history").withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
+    first, last = rows.agg(F.min("at"), F.max("at")).first()
+    part = F.floor((F.col("at") - first) * 4 / (last - first + 1))
+    return [rows.where(part == i).drop("at") for i in range(4)]
+
+
+@query(with_fixtures("drift_history", body="""select field, seq, n as previous, k as previous_empty, coalesce(is_empty and n >= 5
+  and 1.0 > least(mean + 2 * sd, 1.0), false) as drifting from (select *, count(*) over w as n, cast(coalesce(sum(is_empty::int) over w, 0) as bigint) as k,
+  avg(is_empty::int) over w as mean, stddev_samp(is_empty::int) over w as sd from drift_history
+  window w as (partition by field order by ts, seq rows between 19 preceding and 1 preceding))"""))
+def drift_incremental(spark, sf_dir):
+    """Four deliveries, the third one sent twice; each reads only the tails of the one before."""
+    kept = History(spark, shared_folder(spark, "drift-history"))
+    parts = drift_deliveries(spark, sf_dir)
+    for batch in (0, 1, 2, 2, 3):
+        kept.deliver(parts[batch], f"part-{batch}")
+    flags = [kept.flags(f"part-{batch}") for batch in range(4)]
+    return reduce(DataFrame.unionByName, flags).select("field", "seq", "previous", "previous_empty", "drifting")
+
+
+@query(with_fixtures("drift_history", body="select field, count(*) as observations, cast(sum(is_empty::int) as bigint) as empty_rows, min(seq) as first_seq from drift_history group by field"))
+def quality_history(spark, sf_dir):
+    """Batches written, one of them again, and read back by key."""
+    path = shared_folder(spark, "quality-history")
+    for batch, rows in enumerate([*drift_deliveries(spark, sf_dir), drift_deliveries(spark, sf_dir)[1]]):
+        writers.append_quality_history(rows, path, f"b{batch % 4 if batch < 4 else 1}")
+    history = spark.read.parquet(path)
+    keys = [r["field"] for r in history.select("field").distinct().collect()]
+    return reduce(DataFrame.unionByName, [drift.read_history(history, k) for k in keys]).groupBy("field").agg(
+        F.count(F.lit(1)).alias("observations"), F.sum(F.col("is_empty").cast("long")).alias("empty_rows"), F.min("seq").cast("long").alias("first_seq")
+    )
+
+
 @query(with_fixtures("drift_history", body="select field, count(*) as observations, cast(sum(is_empty::int) as bigint) as empty_rows "
                      "from drift_history where field = 'click' group by field"))
 def read_history(spark, sf_dir):
@@ -96,6 +135,49 @@ def source_resolve_confidence(spark, sf_dir):
     return resolved(spark, sf_dir, "founded_year", resolve.Criterion("highest_confidence"))
 
 
+#: One rule per field; a town goes by votes, then by its newest candidate.
+ALL_RULES = {
+    "founded_year": resolve.Rule((resolve.Criterion("static_rank", ("registry", "page", "profile")),), "int"),
+    "company_name": resolve.Rule((resolve.Criterion("prefer_structured"), resolve.Criterion("most_recent")), "lower_strip"),
+    "city": resolve.Rule((resolve.Criterion("majority_vote"), resolve.Criterion("highest_confidence"))),
+}
+ALL_RULES_SQL = with_fixtures("candidates", body=f""", c as (select *, {NORM} as norm from candidates),
+g as (select entity_id, field, norm, count(*) as votes, min(ord) as ord, arg_min(value, ord) as value, arg_min(source, ord) as source,
+  max({rank_sql(("registry", "page", "profile"))}) as rank_mark, max(is_structured::int) as structured, max(nullif(observed_at, '')) as newest, max(confidence) as trust
+  from c where norm is not null group by entity_id, field, norm),
+m as (select *, case field when 'founded_year' then rank_mark when 'company_name' then structured else votes end as m1,
+  case field when 'company_name' then newest when 'city' then cast(trust as varchar) end as m2 from g),
+r as (select *, rank() over (partition by entity_id, field order by m1 desc nulls last, m2 desc nulls last) as place,
+  count(*) over (partition by entity_id, field) as groups,
+  row_number() over (partition by entity_id, field order by m1 desc nulls last, m2 desc nulls last, ord) as rn from m),
+b as (select entity_id, field, max(groups) as groups, count(*) filter (place = 1) as best, max(value) filter (rn = 1) as value, max(source) filter (rn = 1) as source
+  from r group by entity_id, field)
+select c.entity_id, c.field, any_value(b.value) as value, any_value(b.source) as source, coalesce(any_value(b.groups) > 1, false) as conflict,
+  coalesce(any_value(b.groups) > 1 and any_value(b.best) > 1, false) as ambiguous, count(*) as candidate_count
+from c left join b on b.entity_id = c.entity_id and b.field = c.field group by c.entity_id, c.field""")
+
+
+@query(ALL_RULES_SQL)
+def source_resolve_all(spark, sf_dir):
+    """R1 to R7 over every field at once, each by its own rule."""
+    out = resolve.resolve_candidates(fixture(spark, sf_dir, "candidates"), ALL_RULES)
+    return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("conflict", "ambiguous")})
+
+
+@query(ALL_RULES_SQL)
+def resolve_incremental(spark, sf_dir):
+    """The same candidates in three deliveries; the first comes short and late again as a whole."""
+    rows = fixture(spark, sf_dir, "candidates")
+    part = F.pmod(F.col("entity_id") + F.col("ord"), F.lit(3))
+    kept = Resolution(spark, shared_folder(spark, "resolution"), ALL_RULES, buckets=32)
+    kept.deliver(rows.where((part == 0) & (F.col("entity_id") % 2 == 0)), "first")
+    kept.deliver(rows.where(part == 1), "second")
+    kept.deliver(rows.where(part == 0), "first")
+    kept.deliver(rows.where(part == 2), "third")
+    out = kept.resolved()
+    return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("conflict", "ambiguous")})
+
+
 @query(with_fixtures("candidates", body="select entity_id, field, source, arg_max_null(value, ord) as value from candidates "
                      "group by all"))
 def raw_values(spark, sf_dir):
@@ -242,6 +324,10 @@ def icp_filter(spark, sf_dir):
 @query(with_fixtures("people", "companies", body=f"""select person_id from people p join companies c on c.company_id = p.person_id % (select max(company_id) + 1 from companies) where {ICP_WHERE}
   and job_title in ('VP of Sales', 'Chief Executive Officer', 'Director of Sales', 'Vice President')"""))
 def icp_filter_people(spark, sf_dir):
+    return icp.icp_filter_people(people_in_roles(spark, sf_dir), CLIENT).select("person_id")
+
+
+def people_in_roles(spark, sf_dir) -> DataFrame:
     employers = nested_companies(spark, sf_dir)
     n = employers.agg(F.max("company_id")).first()[0] + 1
     employer = F.struct("industry", "company_size", "locations", "technographics", "products_and_services", "description")
@@ -253,7 +339,50 @@ def icp_filter_people(spark, sf_dir):
         F.struct(F.lit(False).alias("is_current"), F.lit("Sales").alias("job_title"), "company"),
         F.struct(F.lit(True).alias("is_current"), "job_title", "company"),
     )
-    return icp.icp_filter_people(joined.withColumn("experiences", experiences), CLIENT).select("person_id")
+    return joined.withColumn("experiences", experiences)
+
+
+PROFILE_LISTS = [c for c in icp.LIST_FIELDS]
+
+
+def profiles(spark, sf_dir) -> DataFrame:
+    lists = {c: F.filter(F.split(F.col(c), "[|]"), lambda x: x != "") for c in PROFILE_LISTS}
+    return fixture(spark, sf_dir, "profiles").withColumns(lists)
+
+
+def _list(column: str) -> str:
+    return f"list_filter(string_split(f.{column}, '|'), lambda x: x <> '')"
+
+
+def similar_sql(text: str, column: str) -> str:
+    """Some phrase of the list has half of its words in the text."""
+    words = r"list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda w: w <> ''))"
+    hit = f"len(list_intersect({words.format(text)}, {words.format('p')})) >= 0.5 * len({words.format('p')})"
+    return f"len(list_filter({_list(column)}, lambda p: {hit})) > 0"
+
+
+COMPANY_FITS = f"""(f.industries = '' or list_contains({_list('industries')}, c.industry))
+  and (f.company_size_buckets = '' or list_contains({_list('company_size_buckets')}, c.company_size))
+  and (f.hq_countries = '' or list_contains({_list('hq_countries')}, c.hq_country)) and (f.hq_cities = '' or list_contains({_list('hq_cities')}, 'x'))
+  and (f.technologies = '' or list_has_any({_list('technologies')}, case when company_id % 2 = 0 then ['SegmentCo', 'x'] when company_id % 5 = 1 then ['y', 'SegmentCo'] else ['y', 'z'] end))
+  and (f.products_and_services = '' or {similar_sql('c.products_and_services', 'products_and_services')})
+  and (f.description_keywords = '' or len(list_filter({_list('description_keywords')}, lambda k: contains(lower(c.description), lower(k)))) > 0)"""
+SOME_CLAUSE = "concat(f.industries, f.company_size_buckets, f.hq_countries, f.hq_cities, f.technologies, f.products_and_services, f.description_keywords) <> ''"
+
+
+@query(with_fixtures("companies", "profiles", body=f"""select client_id, company_id from companies c join profiles f on {COMPANY_FITS}
+  and {SOME_CLAUSE} and (c.domain is null or not list_contains({_list('exclude_domains')}, c.domain))"""))
+def icp_match_many(spark, sf_dir):
+    """B6 for every profile of a table in one run."""
+    return icp_many.match_companies(nested_companies(spark, sf_dir), profiles(spark, sf_dir))
+
+
+@query(with_fixtures("people", "companies", "profiles", body=f"""select client_id, person_id from people q
+  join companies c on c.company_id = q.person_id % (select max(company_id) + 1 from companies) join profiles f on {COMPANY_FITS}
+  and {similar_sql('q.job_title', 'people_job_title_include')} and not {similar_sql('q.job_title', 'people_job_title_exclude')}"""))
+def icp_match_many_people(spark, sf_dir):
+    """B7 for every profile of a table in one run."""
+    return icp_many.match_people(people_in_roles(spark, sf_dir), profiles(spark, sf_dir))
 
 
 @query(with_fixtures("people", "companies", body="""select person_id, company_domain from people where company_domain in
@@ -515,6 +644,20 @@ def dictionary_match(spark, sf_dir):
     return match(spread_scan(table(spark, sf_dir, "documents")), WORDS, "doc_id", "text").select("doc_id", "code", "category")
 
 
+WORD_ALIAS = r"'(?i)\b' || regexp_replace(regexp_replace(lower(trim(alias)), '\s+', ' ', 'g'), ' ', '\\s+', 'g') || '\b'"
+
+
+@query(with_fixtures("aliases", body=f""", patterns as (select distinct {WORD_ALIAS} as pattern, lower(trim(alias)) as alias from aliases where trim(alias) <> ''),
+  texts as (select doc_id, {ASCII_TEXT} as text from documents),
+  hits as (select doc_id, p.alias from texts d join patterns p on regexp_matches(d.text, p.pattern))
+  select distinct doc_id, ord, code, category from hits h join aliases a on lower(trim(a.alias)) = h.alias"""))
+def dictionary_match_table(spark, sf_dir):
+    """X5 against a table of aliases that grows with the input."""
+    from enrichlake.operators.page_structure import dictionary_match_table as match
+
+    return match(table(spark, sf_dir, "documents"), fixture(spark, sf_dir, "aliases"), "doc_id", "text")
+
+
 def company_records(spark, sf_dir) -> DataFrame:
     """One JSON record per company, in three spellings."""
     c = fixture(spark, sf_dir, "companies")
@@ -655,6 +798,67 @@ def evaluate_record(spark, sf_dir):
     return rows.select("record_id", "is_valid_row", "quality_score", F.array_join("rejection_reasons", "|").alias("reasons"))
 
 
+RECORD_CONTRACTS = {"company_domain": Contract(True, 10.0, ("profile",)), "country": Contract(False, 10.0, ("registry", "profile"))}
+
+
+@query(with_fixtures("people", "drift_history", body="""select record_id, is_valid_row, quality_score, coalesce(w.drift_warnings, '') as drift_warnings from
+  (select person_id as record_id, company_domain is not null as is_valid_row, cast(98.0 - case when company_domain is null then 30.0 else 0.0 end as double) as quality_score from people) r
+  left join (select seq, 'drift_warning:company_domain' as drift_warnings from (select *, count(*) over v as n, avg(is_empty::int) over v as mean, stddev_samp(is_empty::int) over v as sd from (
+    select 0 as part, ts, seq, is_empty from (select * from drift_history where field = 'click' order by ts desc, seq desc limit 19)
+    union all select 1, null, person_id, company_domain is null from people) o
+    window v as (order by part, ts, seq rows between 19 preceding and 1 preceding))
+    where part = 1 and is_empty and n >= 5 and 1.0 > least(mean + 2 * sd, 1.0)) w on w.seq = r.record_id"""))
+def evaluate_record_drift(spark, sf_dir):
+    """Q11 with drift: a history under the records' own namespace counts, one under the plain name does not."""
+    rows = fixture(spark, sf_dir, "people").select(F.col("person_id").alias("record_id"), "company_domain", "country")
+    seen = drift.read_history(fixture(spark, sf_dir, "drift_history"), "click").withColumn("ts", F.col("ts").cast("timestamp"))
+    other = seen.withColumn("field", F.lit("company_domain")).withColumn("is_empty", ~F.col("is_empty"))
+    history = seen.withColumn("field", F.lit("records:company_domain")).unionByName(other)
+    out = plan.evaluate_records(
+        rows, RECORD_CONTRACTS, "records", "record_id", history=history, run_timestamp=F.lit("2199-01-01").cast("timestamp")
+    )
+    return out.select("record_id", "is_valid_row", "quality_score", F.array_join("drift_warnings", "|").alias("drift_warnings"))
+
+
+# --- S4-S6, S10: written, then read by the operator -----------------------------------
+SPINE_NAME = """concat(name, case when company_id % 3 = 0 then concat(chr(10), 'second "line", with all') else '' end)"""
+
+
+@query(with_fixtures("companies", body=f"select cast(company_id as varchar) as company_id, {SPINE_NAME} as name, domain, linkedin_url from companies"))
+def spine_csv(spark, sf_dir):
+    path = shared_folder(spark, "spine")
+    rows = fixture(spark, sf_dir, "companies").selectExpr("company_id", f"{SPINE_NAME} as name", "domain", "linkedin_url", "industry")
+    writers.write_flat_csv(rows, path)
+    return readers.read_spine_csv(spark, path).select(*bronze.COMPANY_SPINE)
+
+
+@query(with_fixtures("profiles", body="select client_id, name, " + ", ".join(f"coalesce(f.{c}, '') as {c}" for c in (
+    "industries", "company_size_buckets", "hq_countries", "hq_cities", "description_keywords", "exclude_domains"))
+    + """, 100 as "limit", 'CONTAINS' as people_match_mode, 5 as people_max_per_company from profiles f"""))
+def icp_folder(spark, sf_dir):
+    """A file per client, checked and typed."""
+    path = shared_folder(spark, "profiles")
+    rows = profiles(spark, sf_dir)
+    rows.coalesce(8).write.option("maxRecordsPerFile", 1).json(path)
+    lists = [F.array_join(c, "|").alias(c) for c in ("industries", "company_size_buckets", "hq_countries", "hq_cities", "description_keywords", "exclude_domains")]
+    return readers.read_icp_specs(spark, path).select("client_id", "name", *lists, "limit", "people_match_mode", "people_max_per_company")
+
+
+@query(with_fixtures("companies", body="""select company_id, client_id, step, raw from (
+  select cast(company_id as varchar) as company_id, 'a' as client_id, 'scrape' as step, concat('{"n":', cast(headcount as varchar), '}') as raw from companies where company_id % 4 = 0
+  union all select cast(company_id as varchar), 'b', 'scrape', '{}' from companies
+  union all select cast(company_id as varchar), 'a', 'people', '{}' from companies where company_id % 2 = 1)"""))
+def bronze_step(spark, sf_dir):
+    """A client's step replaces its own earlier output only."""
+    path = shared_folder(spark, "bronze")
+    rows = fixture(spark, sf_dir, "companies").withColumn("company_id", F.col("company_id").cast("string"))
+    plain = rows.withColumn("raw", F.lit("{}"))
+    full = rows.withColumn("raw", F.concat(F.lit('{"n":'), F.col("headcount").cast("string"), F.lit("}")))
+    for client, step, part in (("a", "scrape", plain), ("b", "scrape", plain), ("a", "people", plain.where("company_id % 2 = 1")), ("a", "scrape", full.where("company_id % 4 = 0"))):
+        writers.write_bronze_step(part, path, client, step, bronze.COMPANY_SPINE, "raw")
+    return spark.read.parquet(path).select("company_id", "client_id", "step", "raw")
+
+
 # --- R8-R11 -----------------------------------------------------------------------
 PAGE_COMPANIES = s.pages_sql(
     "page_id, case when usable then domain end as domain, case when usable then entity_id end as entity_id, case when usable then entity_name end as entity_name, "
@@ -707,14 +911,17 @@ select record_id, case when record_id % 3 < 2 and record_id % 5 = 0 then 'Contac
   case when record_id % 3 < 2 and record_id % 5 = 0 then 'export' else 'profile' end as job_title_source,
   case when record_id % 3 < 2 and record_id % 5 = 0 then record_id || '@example.com' end as email from u"""))
 def person_rows_from_contacts(spark, sf_dir):
-    # Contacts as the reader of contact exports hands them on, with a tag per column.
+    # A contact export, read as a file (S6); the notes hold line breaks.
     text_id = F.col("person_id").cast("string")
     contacts = fixture(spark, sf_dir, "people").where(F.col("person_id") % 5 == 0).select(
         F.concat(F.lit("https://in.example.com/"), text_id).alias("linkedin_url"),
         F.lit("Contact title").alias("job_title"),
         F.concat(text_id, F.lit("@example.com")).alias("email"),
+        F.concat(F.lit('met at "fair", '), text_id, F.lit("\nsecond day")).alias("note"),
     )
-    tagged = contacts.select(*[x for c in contacts.columns for x in (F.col(c), F.lit("export").alias(f"{c}_source"))])
+    path = shared_folder(spark, "contacts")
+    writers.write_flat_csv(contacts, path)
+    tagged = readers.read_contact_csv(spark, path, "export")
     rows = cp.assemble_person_rows(pj.person_universal(person_records(spark, sf_dir)), tagged, with_drift=False)
     return rows.select("record_id", "job_title", "job_title_source", "email")
 

@@ -12,10 +12,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import catalogs as cat
 from ..functions import text as t
@@ -33,11 +35,15 @@ CONTEXT_COLUMNS = {
 
 @dataclass(frozen=True)
 class FieldResult:
-    """What a job yields: the value, where it came from, and further flat columns."""
+    """What a job yields: the value, where it came from, and further flat columns.
+
+    `error` is the message of a page the job fails on, NULL for others. Such a page keeps an empty field.
+    """
 
     value: Column | None
     source: Column | None = None
     extra: dict[str, Column] = field(default_factory=dict)
+    error: Column | None = None
 
 
 @dataclass(frozen=True)
@@ -47,6 +53,8 @@ class FieldJob:
     depends_on: tuple[str, ...] = ()
     # Jobs that only cross-check others carry no value of their own.
     reported: bool = True
+    # An error that the expressions raise stays with its page; see `_caught`.
+    isolated: bool = False
 
     def result(self) -> FieldResult:
         """The job's expressions. They name columns and belong to no DataFrame, so a
@@ -59,6 +67,67 @@ def _built(build: Callable[[], FieldResult], gateway: int) -> FieldResult:
     return build()
 
 
+def python_job(
+    name: str, function: Callable, kind: str, reads: Sequence[str] = ("markdown",), depends_on: Sequence[str] = ()
+) -> FieldJob:
+    """A field that a Python function reads from the columns `reads`, in Arrow batches.
+
+    The function gets one page's values and returns a value of type `kind`. What it raises is that page's error and
+    touches no other page. It is not called for unusable pages.
+    """
+
+    def build() -> FieldResult:
+        @F.arrow_udf(f"value {kind}, error string")
+        def run(usable: pa.Array, *columns: pa.Array) -> pa.Array:
+            values, errors = [], []
+            for is_usable, *page in zip(usable.to_pylist(), *(c.to_pylist() for c in columns), strict=True):
+                value = error = None
+                if is_usable:
+                    try:
+                        value = function(*page)
+                    except Exception as e:  # noqa: BLE001 - whatever it is, it belongs to this page only
+                        error = f"{type(e).__name__}: {e}"
+                values.append(value)
+                errors.append(error)
+            fields = [pa.array(values, to_arrow_type(value_type)), pa.array(errors, pa.string())]
+            return pa.StructArray.from_arrays(fields, ["value", "error"])
+
+        value_type = T.StructType.fromDDL(f"value {kind}")["value"].dataType
+        held = f"_python_{name}"
+        given = [_md() if c == "markdown" else F.col(c) for c in reads]
+        return FieldResult(
+            F.col(f"{held}.value"), extra={held: run(_md().isNotNull(), *given)}, error=F.col(f"{held}.error")
+        )
+
+    return FieldJob(name, build, tuple(depends_on))
+
+
+#: Timestamps keep their microseconds on the way through JSON.
+_AS_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+
+
+def _caught(out: DataFrame, job: FieldJob, result: FieldResult, usable: Column) -> FieldResult:
+    """The same result, but NULL with an error where evaluating it raises.
+
+    `try_to_binary` gives NULL for any error below it, so the job's columns pass through it as one JSON text. The
+    built-in jobs raise nothing and do not pay for this.
+    """
+    columns = {"value": result.value, "source": result.source, **{k: c for k, c in result.extra.items() if not k.startswith("_")}}
+    packed = F.struct(*[c.alias(k) for k, c in columns.items() if c is not None])
+    kind = out.select(packed.alias("v")).schema["v"].dataType
+    held = f"_caught_{job.name}"
+    text = F.when(usable, F.to_json(packed, _AS_JSON))
+    back = F.from_json(F.col(held).cast("string"), kind, _AS_JSON)
+    failed = F.when(usable & F.col(held).isNull(), F.lit(f"{job.name}: evaluation raised an error"))
+    own = {k: back[k] for k in kind.fieldNames() if k not in ("value", "source")}
+    return FieldResult(
+        back["value"] if result.value is not None else None,
+        back["source"] if result.source is not None else None,
+        {held: F.try_to_binary(text, F.lit("utf-8")), **own},
+        F.coalesce(failed, result.error) if result.error is not None else failed,
+    )
+
+
 def _md() -> Column:
     """Text of a usable page, NULL for others."""
     return F.col("_md")
@@ -516,7 +585,8 @@ def extract_fields(
 ) -> DataFrame:
     """Add one column per job, its `<name>_src` label and extra columns.
 
-    Where `usable` is false nothing is evaluated and every field is NULL.
+    Where `usable` is false nothing is evaluated and every field is NULL. A job that can fail also gets `<name>_error`;
+    where that is set, its columns are NULL, and jobs that read them go on with NULL.
     """
     usable = F.lit(True) if usable is None else usable
     out = with_context(pages).withColumn("_md", F.when(usable, F.coalesce(F.col("markdown"), F.lit(""))))
@@ -528,12 +598,18 @@ def extract_fields(
         helpers = {k: c for _, r in results for k, c in r.extra.items() if k.startswith("_")}
         if helpers:
             out = out.withColumns(helpers)
-        values = {j.name: F.when(usable, r.value) for j, r in results if r.value is not None}
+        if any(j.isolated for j in stage):
+            results = [(j, _caught(out, j, r, usable) if j.isolated else r) for j, r in results]
+            caught = {k: c for j, r in results if j.isolated for k, c in r.extra.items() if k.startswith("_")}
+            out, helpers = out.withColumns(caught), helpers | caught
+        works = {j.name: usable if r.error is None else usable & r.error.isNull() for j, r in results}
+        values = {j.name: F.when(works[j.name], r.value) for j, r in results if r.value is not None}
         if values:
             out = out.withColumns(values)
-        derived = {f"{j.name}_src": F.when(usable, r.source) for j, r in results if r.source is not None}
+        derived = {f"{j.name}_src": F.when(works[j.name], r.source) for j, r in results if r.source is not None}
+        derived |= {f"{j.name}_error": F.when(usable, r.error) for j, r in results if r.error is not None}
         derived |= {
-            k: F.when(usable, c) for _, r in results for k, c in r.extra.items() if not k.startswith("_")
+            k: F.when(works[j.name], c) for j, r in results for k, c in r.extra.items() if not k.startswith("_")
         }
         if derived:
             out = out.withColumns(derived)

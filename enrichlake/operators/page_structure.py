@@ -182,3 +182,54 @@ def dictionary_match(docs: DataFrame, catalog: CatalogRows, id_col: str, text_co
     return docs.select(id_col, F.posexplode(pairs).alias("ord", "hit")).select(
         id_col, "ord", F.col("hit.tool_id").alias("code"), "hit.category"
     )
+
+
+# --- dictionary match against a table -------------------------------------------
+SALTS = 16
+
+
+def _word_list(text: Column) -> Column:
+    """Distinct words of a text, in lower case."""
+    return F.array_distinct(t.extract_all(F.lower(text), r"(?U)\w+"))
+
+
+def dictionary_match_table(docs: DataFrame, catalog: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """X5 with a catalog of any size: (id, ord, code, category), as :func:`dictionary_match` gives them.
+
+    `catalog` has one row per alias: `ord, code, category, alias`. An alias stands in a text only if all its words do,
+    so texts and aliases meet on the alias' rarest word, counted over the texts; what meets is verified on the whole
+    text. Word lists are moved in place of texts; a text moves once, if it meets an alias at all. The keys of both sides
+    are salted, so a frequent word is spread over `SALTS` tasks. Equal rows share their candidates and are verified one
+    by one. An alias without a word, a NULL alias and a NULL text match nothing.
+    """
+    key = F.xxhash64(id_col, text_col)  # equal keys of different rows only add candidates
+    texts = docs.where(F.col(text_col).isNotNull()).select(key.alias("_k"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    entry = catalog.select("ord", "code", "category", F.lower(t.strip(F.regexp_replace("alias", r"(?U)\s+", " "))).alias("_alias"))
+    entry = entry.where("_alias <> ''").distinct().withColumn("_words", _word_list(F.col("_alias")))
+    words = texts.select("_k", F.explode(_word_list(F.col("_text"))).alias("_word"))
+    wanted = entry.select("_alias", F.explode("_words").alias("_word")).distinct()
+    held = words.join(wanted.select("_word").distinct(), "_word", "left_semi").groupBy("_word").agg(F.count(F.lit(1)).alias("_held"))
+    # A word that no text holds leaves the inner join, and with it the aliases that need it.
+    met = wanted.join(held, "_word", "left").groupBy("_alias").agg(
+        F.min(F.struct(F.coalesce("_held", F.lit(0)).alias("held"), "_word")).alias("_rarest")
+    )
+    met = met.where("_rarest.held > 0").select("_alias", F.col("_rarest._word").alias("_word"))
+    entries = entry.drop("_words").join(met, "_alias").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    pairs = words.withColumn("_salt", F.pmod("_k", F.lit(SALTS)).cast("int")).join(entries, ["_word", "_salt"])
+    pattern = F.concat(F.lit(r"(?U)\b"), F.regexp_replace(_quoted_pattern(F.col("_alias")), " ", r"\\s+"), F.lit(r"\b"))
+    candidate = F.struct("ord", "code", "category", F.col("_alias").alias("alias"), pattern.alias("pattern"))
+    lists = pairs.groupBy("_k").agg(F.collect_set(candidate).alias("_candidates"))
+    plain = F.regexp_replace(F.lower("_text"), r"(?U)\s+", " ")
+    found = F.filter("_candidates", lambda c: F.contains(F.col("_plain"), c["alias"]) & F.rlike(F.lower("_text"), c["pattern"]))
+    hits = F.array_distinct(F.transform(F.col("_found"), lambda c: F.struct(c["ord"].alias("ord"), c["code"].alias("code"), c["category"].alias("category"))))
+    return (
+        texts.join(lists, "_k")
+        .withColumn("_plain", plain)
+        .withColumn("_found", found)
+        .select(F.col("_id").alias(id_col), F.inline(F.array_sort(hits)))
+    )
+
+
+def _quoted_pattern(text: Column) -> Column:
+    """Every character that is neither a letter, a digit nor a space stands for itself."""
+    return F.regexp_replace(text, r"([^\p{L}\p{N}_ ])", r"\\$1")

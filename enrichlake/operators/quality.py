@@ -182,7 +182,8 @@ def violations(rows: DataFrame, contracts: Contracts) -> Column:
 def report_column(rows: DataFrame, fields: list[str], source: str | None = None) -> Column:
     """Q2 on the row: ARRAY<STRUCT<field, ran, is_empty, source>>.
 
-    `source` labels every field; without it the `<field>_src` columns are read.
+    `source` labels every field; without it the `<field>_src` columns are read. A field ran unless its
+    `<field>_error` is set; jobs that cannot fail have no such column.
     """
     entries = []
     for name in fields:
@@ -190,14 +191,25 @@ def report_column(rows: DataFrame, fields: list[str], source: str | None = None)
         entries.append(
             F.struct(
                 F.lit(name).alias("field"),
-                F.lit(True).alias("ran"),
+                (F.col(f"{name}_error").isNull() if f"{name}_error" in rows.columns else F.lit(True)).alias("ran"),
                 (F.lit(True) if dtype is None else is_empty(F.col(name), dtype)).alias("is_empty"),
-                (F.col(f"{name}_src") if source is None else F.lit(source)).alias("source"),
+                (_source_of(rows, name) if source is None else F.lit(source)).alias("source"),
             )
         )
     return F.array(*entries)
 
 
+def _source_of(rows: DataFrame, name: str) -> Column:
+    return F.col(f"{name}_src") if f"{name}_src" in rows.columns else F.lit(None).cast("string")
+
+
+def field_errors(rows: DataFrame, fields: list[str]) -> Column:
+    """ARRAY<STRUCT<field, error>> of the fields that failed on the row."""
+    entries = [F.struct(F.lit(f).alias("field"), F.col(f"{f}_error").alias("error")) for f in fields if f"{f}_error" in rows.columns]
+    kind = "array<struct<field:string,error:string>>"
+    return F.filter(F.array(*entries), lambda x: x["error"].isNotNull()).cast(kind) if entries else F.array().cast(kind)
+
+
 def field_report(rows: DataFrame, id_col: str, fields: list[str], source: str) -> DataFrame:
     """Q2 as rows (id, field, ran, is_empty, source)."""
     return explode_report(rows.withColumn("function_report", report_column(rows, fields, source)), id_col)
@@ -218,7 +230,7 @@ def quality_score(rows: DataFrame, contracts: Contracts, source: str | None = No
             score = score - F.when(is_empty(F.col(name), dtype), cat.REQUIRED_EMPTY_PENALTY).otherwise(0.0)
         lower = contract.source_priority[1:]
         if lower:
-            label = F.lit(source) if source else F.col(f"{name}_src")
+            label = F.lit(source) if source else _source_of(rows, name)
             score = score - F.when(label.isin(*lower), cat.LOWER_SOURCE_PENALTY).otherwise(0.0)
     return F.greatest(F.lit(0.0), F.least(F.lit(100.0), score))
 

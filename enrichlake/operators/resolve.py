@@ -86,51 +86,69 @@ def _known(rule: Rule, marks: Mapping[str, object]) -> tuple[tuple[Criterion, ..
     return rule.criteria, None
 
 
-def resolve_candidates(candidates: DataFrame, rules: Mapping[str, Rule], default: Rule = Rule(())) -> DataFrame:
-    """One row per (entity_id, field).
+# How the mark of one value in two deliveries becomes one mark; the better one unless named here.
+MERGES: dict[str, Callable[[Column], Column]] = {
+    "majority_vote": lambda mark: F.struct(F.sum(mark["number"]).alias("number"), F.lit(None).cast("string").alias("text")),
+}
 
-    Input: `entity_id, field, ord, source, value` and any of `is_structured,
-    observed_at, confidence`. Output: `value, source, conflict, ambiguous,
-    candidate_count`. Ties left by all criteria go to the earliest candidate and
-    are flagged. Both aggregations combine before they shuffle, so an entity with
-    very many candidates is no hot spot.
-    """
-    absent = {c: F.lit(None).cast(dt) for c, dt in META_COLUMNS.items() if c not in candidates.columns}
-    cands = candidates.withColumns(absent) if absent else candidates
-    chains = {field: _known(rule, MARKS) for field, rule in rules.items()}
-    default_chain, _ = _known(default, MARKS)
 
-    def by_field(of: Callable[[Rule], Column]) -> Column:
+class Chains:
+    """The criteria of some rules: which marks they need, and each field's marks in the order of its rule."""
+
+    def __init__(self, rules: Mapping[str, Rule], default: Rule = Rule(())):
+        self.rules, self.default = rules, default
+        self.by_field = {field: _known(rule, MARKS) for field, rule in rules.items()}
+        self.last, _ = _known(default, MARKS)
+        chains = [*(chain for chain, _ in self.by_field.values()), self.last]
+        self.specs = list(dict.fromkeys(c for chain in chains for c in chain))
+        self.names = {spec: f"_mark{i}" for i, spec in enumerate(self.specs)}
+        self.depth = max(map(len, chains))
+
+    def of_field(self, value: Callable[[Rule], Column]) -> Column:
+        out = None
+        for field, rule in self.rules.items():
+            out = (F if out is None else out).when(F.col("field") == field, value(rule))
+        return value(self.default) if out is None else out.otherwise(value(self.default))
+
+    def slot(self, i: int) -> Column:
+        unset = F.struct(F.lit(None).cast("double").alias("number"), F.lit(None).cast("string").alias("text"))
         out = None
-        for field, rule in rules.items():
-            out = (F if out is None else out).when(F.col("field") == field, of(rule))
-        return of(default) if out is None else out.otherwise(of(default))
+        for field, (chain, _) in self.by_field.items():
+            mark = F.col(self.names[chain[i]]) if i < len(chain) else unset
+            out = (F if out is None else out).when(F.col("field") == field, mark)
+        last = F.col(self.names[self.last[i]]) if i < len(self.last) else unset
+        return last if out is None else out.otherwise(last)
+
+
+def candidate_marks(candidates: DataFrame, chains: Chains) -> DataFrame:
+    """One row per (entity_id, field, value as compared): how often, the earliest candidate, a mark per criterion.
 
-    specs = list(dict.fromkeys(c for chain, _ in [*chains.values(), (default_chain, None)] for c in chain))
-    names = {spec: f"_mark{i}" for i, spec in enumerate(specs)}
+    Values that say nothing share the NULL row. Combined on the map side.
+    """
+    absent = {c: F.lit(None).cast(dt) for c, dt in META_COLUMNS.items() if c not in candidates.columns}
+    cands = candidates.withColumns(absent) if absent else candidates
     live = ~t.is_blank(F.col("value"))
-    groups = (
-        cands.withColumn("_norm", F.when(live, by_field(lambda r: normalized(F.col("value"), r.normalize))))
+    norm = F.when(live, chains.of_field(lambda r: normalized(F.col("value"), r.normalize)))
+    return (
+        cands.withColumn("_norm", norm)
         .groupBy("entity_id", "field", "_norm")
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.min(F.struct("ord", "source", "value")).alias("_first"),
-            *[MARKS[spec.type](spec).alias(names[spec]) for spec in specs],
+            *[MARKS[spec.type](spec).alias(chains.names[spec]) for spec in chains.specs],
         )
     )
 
-    depth = max([len(chain) for chain, _ in [*chains.values(), (default_chain, None)]], default=0)
-    unset = F.struct(F.lit(None).cast("double").alias("number"), F.lit(None).cast("string").alias("text"))
 
-    def slot(i: int) -> Column:
-        out = None
-        for field, (chain, _) in chains.items():
-            mark = F.col(names[chain[i]]) if i < len(chain) else unset
-            out = (F if out is None else out).when(F.col("field") == field, mark)
-        last = F.col(names[default_chain[i]]) if i < len(default_chain) else unset
-        return last if out is None else out.otherwise(last)
+def merge_marks(groups: DataFrame, chains: Chains) -> DataFrame:
+    """Rows of several :func:`candidate_marks` as if their candidates had come together."""
+    marks = [MERGES.get(spec.type, F.max)(F.col(name)).alias(name) for spec, name in chains.names.items()]
+    return groups.groupBy("entity_id", "field", "_norm").agg(F.sum("_n").alias("_n"), F.min("_first").alias("_first"), *marks)
+
 
-    marks = [slot(i).alias(f"m{i}") for i in range(depth)]
+def resolve_marks(groups: DataFrame, chains: Chains) -> DataFrame:
+    """The value of each (entity_id, field) out of the marks of its values."""
+    marks = [chains.slot(i).alias(f"m{i}") for i in range(chains.depth)]
     is_live = F.col("_norm").isNotNull()
     early = F.struct(*marks, (-F.col("_first.ord")).alias("at"), F.col("_first.value").alias("value"), F.col("_first.source").alias("source"))
     late = F.struct(*marks, F.col("_first.ord").alias("at"))
@@ -144,7 +162,7 @@ def resolve_candidates(candidates: DataFrame, rules: Mapping[str, Rule], default
     conflict = F.col("_groups") > 1
     ambiguous = conflict & (-F.col("_early.at") != F.col("_late.at"))
     flag = ambiguous
-    for field, (_, unknown) in chains.items():
+    for field, (_, unknown) in chains.by_field.items():
         if unknown is not None:
             error = F.raise_error(F.lit(f"unknown priority criterion type: {unknown!r}")).cast("boolean")
             flag = F.when((F.col("field") == field) & ambiguous, error).otherwise(flag)
@@ -159,6 +177,19 @@ def resolve_candidates(candidates: DataFrame, rules: Mapping[str, Rule], default
     )
 
 
+def resolve_candidates(candidates: DataFrame, rules: Mapping[str, Rule], default: Rule = Rule(())) -> DataFrame:
+    """One row per (entity_id, field).
+
+    Input: `entity_id, field, ord, source, value` and any of `is_structured,
+    observed_at, confidence`. Output: `value, source, conflict, ambiguous,
+    candidate_count`. Ties left by all criteria go to the earliest candidate and
+    are flagged. Both aggregations combine before they shuffle, so an entity with
+    very many candidates is no hot spot.
+    """
+    chains = Chains(rules, default)
+    return resolve_marks(candidate_marks(candidates, chains), chains)
+
+
 def raw_values(candidates: DataFrame) -> DataFrame:
     """Every source's own value, empties included: (entity_id, field, source, value).
 

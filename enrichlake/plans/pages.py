@@ -16,13 +16,15 @@ from ..operators.page_fields import PAGE_JOBS, FieldJob, extract_fields
 from ..operators.skew import top_k
 from ..operators.triage import triage
 from ..session import checkpointed
+from .history import History
 
 
 def assemble_page_rows(pages: DataFrame, jobs: Sequence[FieldJob] = PAGE_JOBS) -> DataFrame:
-    """All fields of every page plus `function_report`, without any gate."""
+    """All fields of every page plus `function_report` and `field_errors`, without any gate."""
     rows = extract_fields(pages, jobs)
     fields = [j.name for j in jobs if j.reported]
-    return rows.withColumn("function_report", quality.report_column(rows, fields)).drop(*[f"{f}_src" for f in fields])
+    made = {"function_report": quality.report_column(rows, fields), "field_errors": quality.field_errors(rows, [j.name for j in jobs])}
+    return rows.withColumns(made).drop(*[f"{j.name}{x}" for j in jobs for x in ("_src", "_error")])
 
 
 def gate_pages(
@@ -39,6 +41,8 @@ def gate_pages(
     extraction.
 
     Unusable pages keep their text and reasons; their fields are never evaluated.
+    A job that fails on a page leaves an empty field that did not run and an entry
+    in `field_errors`; the page's other fields and all other pages are as without it.
     The plan holds no shuffle, so it scales with the number of splits. Everything
     of :func:`process_batch` is here but the drift warnings, which look across rows.
     """
@@ -52,6 +56,7 @@ def gate_pages(
             "function_report": F.when(usable, report).otherwise(F.array().cast("array<struct<field:string,ran:boolean,is_empty:boolean,source:string>>")),
             "rejection_reasons": F.when(usable, quality.violations(rows, contracts)).otherwise(F.col("triage_reasons")),
             "quality_score": F.when(usable, quality.quality_score(rows, contracts)).otherwise(0.0),
+            "field_errors": quality.field_errors(rows, [j.name for j in jobs]),
         }
     )
     out = gated.withColumns(
@@ -60,8 +65,8 @@ def gate_pages(
             "schema_version": F.lit(cat.SCHEMA_VERSION),
             "run_timestamp": F.current_timestamp() if run_timestamp is None else run_timestamp,
         }
-    ).drop("triage_reasons", *[f"{f}_src" for f in reported])
-    made = ["function_report", "rejection_reasons", "quality_score", "is_valid_row"]
+    ).drop("triage_reasons", *[f"{j.name}{x}" for j in jobs for x in ("_src", "_error")])
+    made = ["function_report", "rejection_reasons", "quality_score", "is_valid_row", "field_errors"]
     return out.select(
         *[t.evaluated(F.col(c)).alias(c) if c in made else c for c in out.columns if c != "markdown"],
         F.coalesce("markdown", F.lit("")).alias("raw_markdown_input"),
@@ -89,10 +94,14 @@ def drift_warnings(
         latest = top_k(history, ["field"], [F.desc("ts"), F.desc("seq")], cat.DRIFT_WINDOW - 1)
         old = latest.select("field", "ts", F.col("seq").cast(new.schema["seq"].dataType).alias("seq"), "is_empty")
         new = new.unionByName(old, allowMissingColumns=True)
+    return warnings_of(drift_flags(new), id_col, fields)
+
+
+def warnings_of(flags: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
+    """Drifting observations as (id, drift_warnings); `_field` is the plain field of a row to report, else NULL."""
     order = t.text_array(fields)
     return (
-        drift_flags(new)
-        .where(F.col("drifting") & F.col("_field").isNotNull())
+        flags.where(F.col("drifting") & F.col("_field").isNotNull())
         .groupBy(F.col("seq").alias(id_col))
         .agg(F.collect_set("_field").alias("_fields"))
         .select(
@@ -109,12 +118,35 @@ def _attach_drift(
 ) -> DataFrame:
     # Read twice from here on (history and rows), extracted once.
     rows = checkpointed(rows)
-    warnings = drift_warnings(rows, id_col, fields, namespace, history)
+    return _with_warnings(rows, id_col, drift_warnings(rows, id_col, fields, namespace, history))
+
+
+def _with_warnings(rows: DataFrame, id_col: str, warnings: DataFrame) -> DataFrame:
     return rows.join(warnings, id_col, "left").withColumn(
         "drift_warnings", F.coalesce("drift_warnings", F.array().cast("array<string>"))
     )
 
 
+def process_delivery(
+    pages: DataFrame,
+    history: History,
+    batch: str,
+    contracts: quality.Contracts = PAGE_CONTRACTS,
+    jobs: Sequence[FieldJob] = PAGE_JOBS,
+    run_timestamp: Column | None = None,
+    ordered: bool = True,
+) -> DataFrame:
+    """Q12 over a kept history: the batch is tested against the tails before it and joins the history.
+
+    A batch that is sent again replaces its own part. Neither reads earlier observations.
+    """
+    fields = [j.name for j in jobs if j.reported]
+    rows = checkpointed(gate_pages(pages, contracts, jobs, run_timestamp))
+    flags = history.deliver(observations(rows, "page_id"), batch)
+    out = _with_warnings(rows, "page_id", warnings_of(flags.withColumn("_field", F.col("field")), "page_id", fields))
+    return out.orderBy(F.desc("is_valid_row"), "page_id") if ordered else out
+
+
 def process_batch(
     pages: DataFrame,
     contracts: quality.Contracts = PAGE_CONTRACTS,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,19 +29,26 @@ def build_session(master: str | None = None, app: str = "enrichlake", **conf: st
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write `df` to reliable storage and go on from there.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that the cluster names in `spark.checkpoint.dir`; a temporary one of this machine for local runs only."""
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="enrichlake-checkpoint-")
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder that all executors see."""
+    return f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`, so that a
-    lost executor costs no more than its unfinished tasks. A temporary folder of
-    this machine serves local runs only.
-    """
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write `df` to reliable storage and go on from there: a lost executor costs no more than its unfinished tasks."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="enrichlake-checkpoint-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_base(df.sparkSession))
     return df.checkpoint()

@@ -76,9 +76,17 @@ def read_record_export(spark: SparkSession, path: str, lines: bool = False) -> D
     return explode_records(_documents(spark, path, lines))
 
 
-def read_spine_csv(spark: SparkSession, path: str, required: Sequence[str] = COMPANY_SPINE) -> DataFrame:
+def _csv(spark: SparkSession, path: str, quoted_breaks: bool) -> DataFrame:
+    """Text columns by their header. A file whose quoted cells hold line breaks has to be read by one task; bulk
+    exports without any are read in splits (`quoted_breaks=False`)."""
+    return spark.read.csv(path, header=True, multiLine=quoted_breaks, quote='"', escape='"')
+
+
+def read_spine_csv(
+    spark: SparkSession, path: str, required: Sequence[str] = COMPANY_SPINE, quoted_breaks: bool = True
+) -> DataFrame:
     """Identity spine of one client; missing columns are named in the error."""
-    return require_columns(spark.read.csv(path, header=True), required)
+    return require_columns(_csv(spark, path, quoted_breaks), required)
 
 
 def read_icp_specs(spark: SparkSession, path: str, industries: Sequence[str] | None = None) -> DataFrame:
@@ -95,7 +103,7 @@ def read_icp_specs(spark: SparkSession, path: str, industries: Sequence[str] | N
     return parse_icp(docs.orderBy("file"))
 
 
-def read_contact_csv(spark: SparkSession, path: str, source: str = "contact") -> DataFrame:
+def read_contact_csv(spark: SparkSession, path: str, source: str = "contact", quoted_breaks: bool = True) -> DataFrame:
     """Every column as text, each with a `<column>_source` tag."""
-    contacts = spark.read.csv(path, header=True, multiLine=True, escape='"')
-    return contacts.select(*[x for c in contacts.columns for x in (F.col(c), F.lit(source).alias(f"{c}_source"))])
+    contacts = _csv(spark, path, quoted_breaks)
+    return contacts.select(*[x for c in contacts.columns for x in (F.col(f"`{c}`"), F.lit(source).alias(f"{c}_source"))])
