@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,9 +32,12 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from . import common, tokens
 
 #: Bytes of text that a block holds; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 MARK = "▁"  # how piece files write a space
-LONGEST_KEPT = 64
+#: Neither tokenizer ever joins characters across such a space.
+CUT = re.compile(r"(?<=\S) (?=\S)")
+#: A longer unit is encoded by `tokenizers` itself: the faster library overflows its stack on very long runs.
+LONGEST_JOINED = 64
 
 
 def piece_path() -> str:
@@ -44,71 +46,85 @@ def piece_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-class Pieces(dict):
-    """Ids of texts by a piece model, as little-endian unsigned 32-bit bytes, and the bytes that each id spells.
+class Pair:
+    """Both tokenizers of one worker: ids of texts by either, and what an id spells.
 
-    If no piece has a space behind another character, merges never cross such a place: what lies between them is
-    encoded by itself and remembered in two generations. `memory` bounds each; it has no part in the result.
+    Texts are cut into units at spaces between visible characters, where the byte-level tokenizer always begins a new
+    piece and no piece of the other one has a space behind another character (checked when the model is read; if one
+    had, a text would be one unit). Each distinct unit of a block is encoded once, with a space in front.
     """
 
-    def __init__(self, path: str, memory: int = 200_000):
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.spelt = [
-            bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)
-        ]
-        self.apart = not any(MARK in p.lstrip(MARK) for p in names) and MARK in names
-        self.memory = memory
-        self.before: dict[str, bytes] = {}
-        if self.apart:
-            self[" "] = array("I", [self.model.piece_to_id(MARK)]).tobytes()
-
-    def __missing__(self, unit: str) -> bytes:
-        """`unit` begins with a space, which the model adds itself."""
-        ids = self.before.get(unit) or array("I", self.model.encode(unit[1:])).tobytes()
-        if len(unit) <= LONGEST_KEPT:
-            if len(self) >= self.memory:
-                self.before = dict(self)
-                self.clear()
-                self[" "] = self.before[" "]
-            self[unit] = ids
-        return ids
-
-    def ids(self, text: str) -> bytes:
-        if not self.apart:
-            return array("I", self.model.encode(text)).tobytes()
-        return b"".join([self[x] for x in re.findall(" +[^ ]*", " " + text)])
-
-
-class Pair:
-    """Both tokenizers of one worker: ids of a text by either, and what an id spells."""
-
     def __init__(self, byte_level: str, pieces: str):
-        self.a = tokens.ByteLevel(byte_level)
-        self.a.at_special = None  # their strings in a text are plain text
-        self.a.whole.encode_special_tokens = True
+        a = tokens.ByteLevel(byte_level)
+        self.fast, self.whole = a.encoding, a.whole
+        self.whole.encode_special_tokens = True  # their strings in a text are plain text
         chars = tokens._byte_of_char()
-        names = [self.a.whole.id_to_token(i) or "" for i in range(self.a.whole.get_vocab_size())]
+        names = [self.whole.id_to_token(i) or "" for i in range(self.whole.get_vocab_size())]
         self.a_spelt = [bytes(chars[c] for c in x) if all(c in chars for c in x) else x.encode() for x in names]
-        self.b = Pieces(pieces)
+        self.model = sentencepiece.SentencePieceProcessor(model_file=pieces)
+        names_b = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.b_spelt = [
+            bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names_b)
+        ]
+        self.apart = not any(MARK in p.lstrip(MARK) for p in names_b)
         self.a_size = np.array([len(x) for x in self.a_spelt], np.int64)
-        self.b_size = np.array([len(x) for x in self.b.spelt], np.int64)
+        self.b_size = np.array([len(x) for x in self.b_spelt], np.int64)
         # Decimal ids with what follows them in the digest, within a side and at its end.
         self.a_text = np.array([b"%d%s" % (i, e) for e in (b",", b"|") for i in range(len(names))], object)
-        self.b_text = np.array([b"%d%s" % (i, e) for e in (b",", b";") for i in range(len(self.b.spelt))], object)
-
-    def ids(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Ids by both, or none if either does not spell the text behind a space."""
-        none = np.zeros(0, np.uint32)
-        if not text:
-            return none, none
-        plain, whole = text.decode(), b" " + text
-        a = np.frombuffer(self.a.ids(" " + plain), np.uint32)
-        b = np.frombuffer(self.b.ids(plain), np.uint32)
-        for ids, spelt in ((a, self.a_spelt), (b, self.b.spelt)):
-            if b"".join([spelt[i] for i in ids.tolist()]) != whole:
-                return none, none
-        return a, b
+        self.b_text = np.array([b"%d%s" % (i, e) for e in (b",", b";") for i in range(len(names_b))], object)
+
+    def _a_ids(self, units: list[str], spelt: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units behind each other, and their number per unit."""
+        short = np.array([len(u) <= LONGEST_JOINED for u in units], bool)
+        text = "".join([" " + u for u in units if len(u) <= LONGEST_JOINED])
+        ids = np.array(self.fast.encode_ordinary(text), np.int64)
+        ends = np.cumsum([len(x) for x, s in zip(spelt, short, strict=True) if s], dtype=np.int64)
+        upto = np.searchsorted(np.cumsum(self.a_size[ids]), ends) + 1
+        n = np.zeros(len(units), np.int64)
+        n[short] = np.diff(upto, prepend=0)
+        if short.all():
+            return ids, n
+        pieces, at = [], 0
+        for i, u in enumerate(units):
+            if not short[i]:
+                found = np.array(self.whole.encode(" " + u, add_special_tokens=False).ids, np.int64)
+                n[i] = len(found)
+                pieces += [ids[at : upto[np.count_nonzero(short[:i]) - 1] if short[:i].any() else 0], found]
+                at = upto[np.count_nonzero(short[:i]) - 1] if short[:i].any() else 0
+        return np.concatenate([*pieces, ids[at:]]), n
+
+    def _spells(self, ids: np.ndarray, n: np.ndarray, by: list[bytes], spelt: list[bytes]) -> np.ndarray:
+        """Whether the ids of each unit spell it."""
+        made = [by[i] for i in ids.tolist()]
+        if b"".join(made) == b"".join(spelt) and len(made):
+            sizes = np.fromiter(map(len, made), np.int64, len(made))
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(n)]
+            if np.array_equal(ends, np.cumsum([len(x) for x in spelt])):
+                return np.ones(len(spelt), bool)
+        ends = np.cumsum(n)
+        each = zip((ends - n).tolist(), ends.tolist(), spelt, strict=True)
+        return np.array([b"".join(made[s:e]) == x for s, e, x in each], bool)
+
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids by both, each with their number per text; none for a text that either does not spell."""
+        cut = [(CUT.split(t.decode()) if self.apart else [t.decode()]) if t else [] for t in texts]
+        of = np.repeat(np.arange(len(texts)), [len(c) for c in cut])
+        coded = pa.array([u for c in cut for u in c], pa.large_string()).dictionary_encode()
+        code, units = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_pylist()
+        spelt = [b" " + u.encode() for u in units]
+        a, n_a = self._a_ids(units, spelt)
+        by_unit = self.model.encode(units, num_threads=1) if units else []
+        n_b = np.array([len(x) for x in by_unit], np.int64)
+        b = np.array([i for x in by_unit for i in x], np.int64)
+        good = self._spells(a, n_a, self.a_spelt, spelt) & self._spells(b, n_b, self.b_spelt, spelt)
+        fine = np.ones(len(texts), bool)
+        fine[of[~good[code]]] = False
+        code, of = code[fine[of]], of[fine[of]]
+        out = []
+        for ids, n in ((a, n_a), (b, n_b)):
+            at, _ = ranges((np.cumsum(n) - n)[code], n[code])
+            out += [ids[at], np.bincount(of, n[code], len(texts)).astype(np.int64)]
+        return tuple(out)
 
 
 @lru_cache(maxsize=2)
@@ -130,24 +146,29 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, lo: np.ndarray, hi: np.n
     both arrays ascend, and both have an end at the end of each text.
     """
     last = len(ends_b) - 1
-    leaves, reach = [hi], np.ones(len(lo), np.int64)
+    leaves, reach = [hi], np.zeros(len(lo), np.int64)
+    more = hi - lo > 1
+    lo, hi, reach = lo[more], hi[more], reach[more]
     while len(lo):
         middle = (lo + hi - 2) // 2
         left, right = np.maximum(lo, middle - reach), np.minimum(hi - 2, middle + reach)
         at, of = ranges(left, np.maximum(right - left + 1, 0))
         found = ends_b[np.minimum(np.searchsorted(ends_b, ends_a[at]), last)] == ends_a[at]
         at, of = at[found], of[found]
-        near = np.lexsort((np.abs(at - middle[of]), of))
-        at, of = at[near], of[near]
-        first = np.flatnonzero(np.diff(of, prepend=-1))
-        cut, of = at[first] + 1, of[first]
+        if reach.any():
+            near = np.lexsort((np.abs(at - middle[of]), of))
+            at, of = at[near], of[near]
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            at, of = at[first], of[first]
+        cut = at + 1
         leaves.append(cut)
         wider = (left > lo) | (right < hi - 2)  # ends that were not looked at yet
         wider[of] = False
         new_lo = np.concatenate([lo[of], cut, lo[wider]])
         new_hi = np.concatenate([cut, hi[of], hi[wider]])
-        reach = np.concatenate([np.ones(2 * len(of), np.int64), 2 * reach[wider]])
-        more = new_hi - new_lo > 1
+        reach = np.concatenate([np.zeros(2 * len(of), np.int64), 2 * reach[wider] + 1])
+        more = np.flatnonzero(new_hi - new_lo > 1)
+        more = more[np.argsort(new_lo[more])]  # neighbouring ends are looked up one after the other
         lo, hi, reach = new_lo[more], new_hi[more], reach[more]
     return np.sort(np.concatenate(leaves))
 
@@ -170,11 +191,8 @@ class Aligned:
     """The tokens, groups and links of some texts."""
 
     def __init__(self, both: Pair, texts: list[bytes]):
-        found = [both.ids(t) for t in texts]
         self.both = both
-        self.a = np.concatenate([x for x, _ in found] or [np.zeros(0)]).astype(np.int64)
-        self.b = np.concatenate([x for _, x in found] or [np.zeros(0)]).astype(np.int64)
-        self.n_a, self.n_b = (np.array([len(x[i]) for x in found], np.int64) for i in (0, 1))
+        self.a, self.n_a, self.b, self.n_b = both.ids(texts)
         self.end_a, self.end_b = np.cumsum(self.n_a), np.cumsum(self.n_b)
         ends_a, ends_b = np.cumsum(both.a_size[self.a]), np.cumsum(both.b_size[self.b])
         some = self.n_a > 0
