@@ -6,7 +6,7 @@ the histogram over the language's most common words. A document is compared with
 and the limit for words allows for the divergence that a sample of that many words has on average.
 
 Defined results: NULL and empty texts have no words and fail the base rule. A NULL language is a language of its
-own. A language with less text than `Limits.reference_words` gives no reference and nothing of it is judged.
+own, apart from an empty one. A language with less text than `Limits.reference_words` gives no reference and nothing of it is judged.
 Repeated rows are judged row by row, alike. Other columns are neither read nor changed.
 """
 
@@ -27,6 +27,8 @@ from . import common
 
 REPEAT_WORDS = 8
 SYMBOLS = "#*$%&|<>"
+#: Bytes of text whose words are held at once.
+PART_BYTES = 1 << 20
 #: Character classes: lower and upper ASCII letters, characters beyond ASCII, digits, whitespace, punctuation, the rest.
 CLASSES = 7
 SKIPPED = CLASSES  # bytes that continue a character
@@ -89,7 +91,7 @@ def _language_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         )
 
     for batch in batches:
-        for part, texts in common.parts(batch, "text"):
+        for part, texts in common.parts(batch, "text", PART_BYTES):
             for lang, text in zip(part.column(1).to_pylist(), texts, strict=True):
                 words.setdefault(lang, Counter()).update(text.lower().split())
                 classes[lang] = classes.get(lang, 0) + class_counts(text)
@@ -99,9 +101,12 @@ def _language_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def language_references(docs: DataFrame, limits: Limits) -> DataFrame:
-    """One row per language: words, their counts, the count of all other words, counts of character classes."""
+    """(ref_lang, reference) per language with enough text; `docs` has text and lang, a key that is never NULL.
+
+    A reference is packed by `_packed`: common words, their counts and that of all other words, counts of classes.
+    """
     counted = (
-        docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
+        docs.select("text", "lang")
         .mapInArrow(_language_counts, "lang string, word binary, class int, n bigint")
         .groupBy("lang", "word", "class")
         .agg(F.sum("n").alias("n"))
@@ -122,18 +127,29 @@ def language_references(docs: DataFrame, limits: Limits) -> DataFrame:
         .groupBy("lang")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("class", "n"))), lambda x: x["n"]).alias("ref_classes"))
     )
-    return (
-        totals.where(F.col("total") >= limits.reference_words)
-        .join(top, "lang")
-        .join(classes, "lang")
-        .select(
-            F.col("lang").alias("ref_lang"),
-            F.transform("top", lambda x: x["word"]).alias("ref_words"),
-            F.transform("top", lambda x: x["n"]).alias("ref_counts"),
-            "total",
-            "ref_classes",
-        )
-    )
+    joined = totals.where(F.col("total") >= limits.reference_words).join(top, "lang").join(classes, "lang")
+    return joined.select("lang", "top", "total", "ref_classes").mapInArrow(_packed, "ref_lang string, reference binary")
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """References as bytes: number of words, class counts, word counts, then the words, which hold no space."""
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            counts = [x["n"] for x in r["top"]]
+            numbers = [len(counts), *r["ref_classes"], *counts, r["total"] - sum(counts)]
+            out.append(np.array(numbers, "<i8").tobytes() + b" ".join(x["word"] for x in r["top"]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["ref_lang", "reference"])
+
+
+class Reference:
+    """Histograms of a language."""
+
+    def __init__(self, packed: bytes):
+        n = int(np.frombuffer(packed, "<i8", 1)[0])
+        numbers = np.frombuffer(packed, "<i8", CLASSES + n + 1, 8).astype(float)
+        self.classes, self.counts = numbers[:CLASSES], numbers[CLASSES:]
+        self.words = packed[8 * (CLASSES + n + 2) :].split(b" ")
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -175,14 +191,19 @@ def repeated_words(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def base_counts(texts: list[bytes]) -> tuple[dict[str, np.ndarray], list[list[bytes]]]:
     words = [t.split() for t in texts]
     codes, _, ends = common.word_codes(words)
-    decoded = [t.decode() for t in texts]
     spaces = common.WHITESPACE.decode()
-    lines = [[x for x in t.split(b"\n") if x.strip()] for t in texts]
+    chars, symbols, repeated_lines = [], [], []
+    for text in texts:
+        decoded = text.decode()
+        chars.append(len(decoded) - sum(map(decoded.count, spaces)))
+        symbols.append(sum(map(decoded.count, SYMBOLS)))
+        lines = [x for x in text.split(b"\n") if x.strip()]
+        repeated_lines.append(len(lines) - len(set(lines)))
     return {
         "n_words": np.array([len(w) for w in words], np.int64),
-        "word_chars": np.array([len(t) - sum(map(t.count, spaces)) for t in decoded], np.int64),
-        "n_symbols": np.array([sum(map(t.count, SYMBOLS)) for t in decoded], np.int64),
-        "n_dup_lines": np.array([len(x) - len(set(x)) for x in lines], np.int64),
+        "word_chars": np.array(chars, np.int64),
+        "n_symbols": np.array(symbols, np.int64),
+        "n_dup_lines": np.array(repeated_lines, np.int64),
         "n_repeat_words": repeated_words(codes, ends),
     }, words
 
@@ -190,35 +211,39 @@ def base_counts(texts: list[bytes]) -> tuple[dict[str, np.ndarray], list[list[by
 MEASURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, class_distance double, word_distance double, base_failed boolean, kept boolean"
 
 
-def _judged(keys: list[str], limits: Limits):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part, texts in common.parts(batch, "text"):
-                given = {n: part.column(i) for i, n in enumerate(part.schema.names)}
-                out, words = base_counts(texts)
-                n = out["n_words"]
-                references: dict[str, tuple] = {}
-                class_d, word_d = np.zeros(len(texts)), np.zeros(len(texts))
-                for i, lang in enumerate(given["ref_lang"].to_pylist()):
-                    if lang is None or n[i] < limits.class_min_words:
-                        continue
-                    if lang not in references:
-                        top, counts = given["ref_words"][i].as_py(), np.array(given["ref_counts"][i].as_py(), float)
-                        other = given["total"][i].as_py() - counts.sum()
-                        references[lang] = top, np.append(counts, other), np.array(given["ref_classes"][i].as_py(), float)
-                    top, counts, classes = references[lang]
-                    class_d[i] = js_distance(class_counts(texts[i]), classes)
-                    if n[i] >= limits.word_min_words:
-                        seen = Counter(x.lower() for x in words[i])
-                        mine = np.array([seen[w] for w in top], float)
-                        word_d[i] = js_distance(np.append(mine, n[i] - mine.sum()), counts)
-                by_chance = limits.common_words / (8 * math.log(2) * np.maximum(n, 1))
-                failed = (n < 20) | (100 * out["n_repeat_words"] > 30 * n)
-                fits = (class_d <= limits.class_distance) & (word_d**2 <= by_chance + limits.word_distance**2)
-                out |= {"class_distance": class_d, "word_distance": word_d, "base_failed": failed, "kept": ~failed & fits}
-                yield pa.RecordBatch.from_arrays([*(given[k] for k in keys), *map(pa.array, out.values())], names=[*keys, *out])
-
-    return run
+def judged(texts: list[bytes], packed: list[bytes | None], limits: Limits, known: dict[bytes, Reference]) -> dict[str, np.ndarray]:
+    """The measures and the verdict of some texts, each with its language's reference; `known` keeps those unpacked."""
+    out, words = base_counts(texts)
+    n = out["n_words"]
+    class_d, word_d = np.zeros(len(texts)), np.zeros(len(texts))
+    for i, reference in enumerate(packed):
+        if reference is None or n[i] < limits.class_min_words:
+            continue
+        if reference not in known:
+            if len(known) > 256:
+                known.clear()
+            known[reference] = Reference(reference)
+        ref = known[reference]
+        class_d[i] = js_distance(class_counts(texts[i]), ref.classes)
+        if n[i] >= limits.word_min_words:
+            seen = Counter(x.lower() for x in words[i])
+            mine = np.array([seen[w] for w in ref.words], float)
+            word_d[i] = js_distance(np.append(mine, n[i] - mine.sum()), ref.counts)
+    by_chance = limits.common_words / (8 * math.log(2) * np.maximum(n, 1))
+    failed = (n < 20) | (100 * out["n_repeat_words"] > 30 * n)
+    fits = (class_d <= limits.class_distance) & (word_d**2 <= by_chance + limits.word_distance**2)
+    return out | {"class_distance": class_d, "word_distance": word_d, "base_failed": failed, "kept": ~failed & fits}
+
+
+def _with_reference(docs: DataFrame, text_col: str, lang_col: str, limits: Limits) -> DataFrame:
+    """`docs` with `_text`, and `_reference` where its language has one. Spark broadcasts the references by their size."""
+    lang = F.col(f"`{lang_col}`").cast("string")
+    key = F.when(lang.isNull(), "null").otherwise(F.concat(F.lit("="), lang))
+    text = F.col(f"`{text_col}`").cast("string")
+    scratch = common.Scratch(docs.sparkSession, "quality-rules")
+    references = scratch.store(language_references(docs.select(text.alias("text"), key.alias("lang")), limits), "references")
+    with_key = docs.withColumns({"_text": text, "_key": key})
+    return with_key.join(references.withColumnRenamed("reference", "_reference"), F.col("_key") == F.col("ref_lang"), "left").drop("_key", "ref_lang")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", limits: Limits = Limits()) -> DataFrame:
@@ -227,24 +252,39 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     Two passes over the texts. No text is moved unless the references are too large for Spark to broadcast, which
     it decides from the size of the stored table.
     """
-    plain = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"))
-    scratch = common.Scratch(docs.sparkSession, "quality-rules")
-    references = scratch.store(language_references(plain, limits), "references")
-    joined = plain.join(references, F.col("lang") == F.col("ref_lang"), "left").drop("lang")
-    out = StructType([StructField(id_col, docs.schema[id_col].dataType), *StructType.fromDDL(MEASURES)])
-    return joined.mapInArrow(_judged([id_col], limits), out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, Reference] = {}
+        for batch in batches:
+            for part, texts in common.parts(batch, "_text", PART_BYTES):
+                out = judged(texts, part.column(2).to_pylist(), limits, known)
+                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, out.values())], names=[id_col, *out])
+
+    plain = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in ((id_col, "_id"), (text_col, "_t"), (lang_col, "_l"))])
+    rows = _with_reference(plain, "_t", "_l", limits).select("_id", "_text", "_reference")
+    out_type = StructType([StructField(id_col, plain.schema["_id"].dataType), *StructType.fromDDL(MEASURES)])
+    return rows.mapInArrow(run, out_type)
 
 
 def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of `docs` that pass, with their columns as they are.
 
-    The verdict is taken in the same pass that hands the row on, so texts are not joined back.
+    Rows stay in the JVM; a text leaves it once and only the verdict comes back.
     """
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"), F.col("lang"))
-    judged = judge(row, "row", "text", "lang", limits)
-    return judged.where("kept").select("row.*")
+
+    @F.arrow_udf("boolean")
+    def keeps(text: pa.Array, reference: pa.Array) -> pa.Array:
+        known: dict[bytes, Reference] = {}
+        batch = pa.RecordBatch.from_arrays([text, reference], names=["text", "reference"])
+        each = [judged(texts, part.column(1).to_pylist(), limits, known)["kept"] for part, texts in common.parts(batch, "text", PART_BYTES)]
+        return pa.array(np.concatenate(each) if each else np.zeros(0, bool))
+
+    names = [f"_{i}" for i in range(len(docs.columns))]  # columns of any name, also those used inside
+    plain = docs.toDF(*names)
+    at = {c: n for c, n in zip(docs.columns, names, strict=True)}
+    rows = _with_reference(plain, at["text"], at["lang"], limits)
+    return rows.where(keeps("_text", "_reference")).select(*names).toDF(*docs.columns)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge(common.table(spark, sf_dir, "documents"))
-    return judged.drop("class_distance", "word_distance")
+    return judge(common.table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")

@@ -1,6 +1,7 @@
 """Quality rules and exact dedup against brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -41,6 +42,72 @@ def test_base_counts(spark):
     assert quality_rules.kept_documents(documents(spark)).columns == documents(spark).columns
 
 
+def distance(p, q):
+    """Jensen-Shannon distance of two dicts of counts."""
+    if not sum(p.values()) or not sum(q.values()):
+        return 0.0
+    p, q = ({k: v / sum(d.values()) for k, v in d.items()} for d in (p, q))
+    bits = 0.0
+    for k in {*p, *q}:
+        a, b = p.get(k, 0), q.get(k, 0)
+        bits += sum(x * math.log2(2 * x / (a + b)) for x in (a, b) if x) / 2
+    return math.sqrt(max(bits, 0))
+
+
+def kind(ch):
+    if ord(ch) > 127:
+        return "beyond"
+    if ch.islower():
+        return "lower"
+    if ch.isupper():
+        return "upper"
+    if ch.isdigit():
+        return "digit"
+    if ch in " \t\n\v\f\r":
+        return "space"
+    return "mark" if ch in ".,;:!?'\"()-" else "rest"
+
+
+def verdicts(rows, limits=quality_rules.Limits()):
+    """(id, class distance, word distance, kept) of each row."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words, kinds = {}, {}
+    for _, text, lang, *_ in rows:
+        words.setdefault(lang, Counter()).update(WORD.findall((text or "").translate(lower)))
+        kinds.setdefault(lang, Counter()).update(map(kind, text or ""))
+    out = []
+    for i, text, lang, *_ in rows:
+        own, n, class_d, word_d = WORD.findall((text or "").translate(lower)), len(WORD.findall(text or "")), 0.0, 0.0
+        if sum(words[lang].values()) >= limits.reference_words:
+            top = [w for w, _ in sorted(words[lang].items(), key=lambda x: (-x[1], x[0].encode()))[: limits.common_words]]
+            seen = Counter(w if w in top else "" for w in own)
+            reference = Counter({w: words[lang][w] for w in top})
+            reference[""] = sum(words[lang].values()) - sum(reference.values())
+            if n >= limits.class_min_words:
+                class_d = distance(Counter(map(kind, text)), kinds[lang])
+            if n >= limits.word_min_words:
+                word_d = distance(seen, reference)
+        by_chance = limits.common_words / (8 * math.log(2) * max(n, 1))
+        fits = class_d <= limits.class_distance and word_d**2 <= by_chance + limits.word_distance**2
+        out.append((i, round(class_d, 9), round(word_d, 9), fits and not base_of(text)[-1]))
+    return sorted(out, key=str)
+
+
+def test_verdicts(spark):
+    """Both distances and what is kept, NULL and empty languages apart."""
+    draw = random.Random(8)
+    words = [f"w{chr(97 + i)}" for i in range(26)]
+    mixed = [(200 + i, " ".join(draw.choice(words) for _ in range(draw.choice([30, 60, 120, 400]))), draw.choice([None, ""]), "s") for i in range(80)]
+    shouted = [(i + 1000, t.upper(), lang, s) for i, t, lang, s in mixed[:5]]
+    for rows in ([*TEXTS, *mixed, *shouted], [tuple(r) for r in sf(spark, "documents").select("doc_id", "text", "lang", "source").collect()]):
+        df = documents(spark, rows)
+        got = [(r.doc_id, round(r.class_distance, 9), round(r.word_distance, 9), r.kept) for r in quality_rules.judge(df).collect()]
+        expected = verdicts(rows)
+        assert sorted(got, key=str) == expected and len({r[1] for r in expected}) > 3
+        kept = sorted((r.doc_id for r in quality_rules.kept_documents(df).collect()), key=str)
+        assert kept == sorted((r[0] for r in expected if r[3]), key=str)
+
+
 def test_divergent_documents_go(spark):
     draw = random.Random(5)
     words = ["the", "of", "and", "to"] * 6 + [f"word{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)]
