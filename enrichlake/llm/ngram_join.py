@@ -9,6 +9,10 @@ Equal sets are one node. Nodes with the same prefix and the same size form a gro
 stands in the inverted index. Members are checked against it; one that is not similar becomes a group of its own, with its
 whole prefix in the index.
 
+A set also has a parity sketch: bit i says whether an odd number of its hashes falls to i. Two sketches differ in no more
+bits than their sets in elements, so a pair whose sketches differ too much is no candidate; this is exact, and nearly
+all pairs of a family whose members are not similar to each other end there, before they are rows.
+
 Which candidate pairs have to be compared is decided per component, as only components are asked for. First each
 group is compared with one group that shares most of its prefix, in rounds, which joins nearly all of a family of
 near copies at a cost linear in its size. Then every remaining pair of groups that shares a prefix shingle, fits in
@@ -42,7 +46,11 @@ WORDS = 3
 PERCENT = 90
 #: Counters of the frequency table and the number of rows that carry it.
 COUNTERS, CHUNKS = 1 << 21, 64
-ROUNDS = 4
+#: Rounds go on while at least one in so many comparisons links two components.
+LEAST_GAIN = 20
+#: Bits of a parity sketch, and bytes of sets that a worker keeps while it compares.
+SKETCH_BITS = 512
+KEPT_BYTES = 32 << 20
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,6 +100,17 @@ def enough(n: Column, m: Column, shared: Column, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (shared + F.greatest(rest(n), rest(m)) >= least)
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    odd = np.bincount((hashes & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def least_distance(n: Column, m: Column, x: Column, y: Column) -> Column:
+    """No Jaccard distance of sets of n and m elements with these sketches is smaller."""
+    apart = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(1, SKETCH_BITS // 64)), F.bit_count(x[0].bitwiseXOR(y[0])))
+    return 2 * apart / (n + m + apart)
+
+
 def _counters(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
@@ -152,8 +171,9 @@ def _prefixed(frequency: np.ndarray, words: int, percent: int):
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
                         pa.array(keys, pa.binary()),
                         pa.array(heads, pa.list_(pa.int64())),
+                        pa.array([sketch(s) for s in sets], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n", "sig", "pkey", "prefix"],
+                    names=["doc_id", "n", "sig", "pkey", "prefix", "sketch"],
                 )
 
     return run
@@ -170,10 +190,10 @@ def _compared(words: int):
         for batch in batches:
             a, b, left, right = batch.columns
             held: dict[bytes, np.ndarray] = {}
-            for start in range(0, len(a), 256):
-                packed = [*left.slice(start, 256).to_pylist(), *right.slice(start, 256).to_pylist()]
+            for start in range(0, len(a), 64):
+                packed = [*left.slice(start, 64).to_pylist(), *right.slice(start, 64).to_pylist()]
                 fresh = [x for x in dict.fromkeys(packed) if x not in held]
-                if len(held) > 2048:
+                if sum(x.nbytes for x in held.values()) > KEPT_BYTES:
                     held, fresh = {}, list(dict.fromkeys(packed))
                 held |= zip(fresh, shingle_sets([zstandard.decompress(x) for x in fresh], words), strict=True)
                 n = len(packed) // 2
@@ -221,11 +241,11 @@ class Join:
 
     def prepare(self) -> None:
         frequency = frequencies(self.plain, self.words)
-        kind = "doc_id bigint, n bigint, sig binary, pkey binary, prefix array<bigint>"
+        kind = "doc_id bigint, n bigint, sig binary, pkey binary, prefix array<bigint>, sketch array<bigint>"
         self.rows = self.scratch.store(self.plain.mapInArrow(_prefixed(frequency, self.words, self.percent), kind), "rows")
         named = self.rows.where("n > 0 AND doc_id IS NOT NULL")
-        first = F.min(F.struct("doc_id", "pkey", "n")).alias("f")
-        nodes = named.groupBy("sig").agg(first).select("sig", F.col("f.doc_id").alias("node"), F.col("f.pkey").alias("pkey"), F.col("f.n").alias("n"))
+        first = F.min(F.struct("doc_id", "pkey", "n", "sketch")).alias("f")
+        nodes = named.groupBy("sig").agg(first).select("sig", F.col("f.doc_id").alias("node"), "f.pkey", "f.n", "f.sketch")
         self.nodes = self.scratch.store(nodes, "nodes")
         groups = self.nodes.groupBy("pkey").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members"))
         self.groups = self.scratch.store(groups, "groups")
@@ -259,6 +279,11 @@ class Join:
         own = own.unionByName(own.join(strays, "head").select(F.col("stray").alias("head"), "n", "prefix"))
         own = own.select("head", "n", F.explode("prefix").alias("token")).select(self.index.columns)
         self.index = self.scratch.store(self.index.unionByName(own), "index-all").distinct()
+        # What a head's node is like: an id may have several texts, and so several sketches and sizes.
+        reach = self.inside.where("node <> head").groupBy("head").agg(F.max("reach").alias("reach"))
+        self.like = self.scratch.store(
+            self.nodes.select(F.col("node").alias("head"), "n", "sketch").join(reach, "head", "left").na.fill(0.0, ["reach"]), "like"
+        )
 
     def open_tokens(self, labels: DataFrame, name: str) -> DataFrame:
         """Index rows of the shingles that several components share, with the largest component of the shingle."""
@@ -275,44 +300,59 @@ class Join:
 
     def rounds(self) -> DataFrame:
         """Compare each group with the head that shares most of its prefix, until few pairs are left to compare."""
-        labels = self.current("labels-0")
-        size = self.nodes.groupBy("node").agg(F.min("n").alias("m")).select(F.col("node").alias("lead"), "m")
-        for i in range(ROUNDS + 1):
-            open_ = self.open_tokens(labels, f"round-{i}")
+        labels, step = self.current("labels-0"), 0
+        lead = self.like.select(F.col("head").alias("lead"), F.col("n").alias("m"), F.col("sketch").alias("of_lead"))
+        limit = 1 - self.percent / 100 + 1e-9
+        while True:
+            open_ = self.open_tokens(labels, f"round-{step}")
             apart = open_.where("component <> main")
             left, heads = apart.agg(F.coalesce(F.sum("total"), F.lit(0)), F.countDistinct("head")).first()
-            if i == ROUNDS or left <= 4 * heads:
+            if left <= 4 * heads:
                 break
             # What a group shares with all leads of a component bounds what it shares with one of its members.
-            by_lead = apart.groupBy("head", "n", "main", "lead").agg(F.count(F.lit(1)).alias("c")).join(size, "lead")
-            best = F.max(F.struct("fits", "c", (-F.col("lead")).alias("minus")))
+            by_lead = apart.groupBy("head", "n", "main", "lead").agg(F.count(F.lit(1)).alias("c")).join(lead, "lead").join(self.like.select("head", "n", "sketch"), ["head", "n"])
+            near = least_distance(F.col("n"), F.col("m"), F.col("sketch"), F.col("of_lead"))
+            best = F.max(F.struct((near <= limit).alias("fits"), "c", (-F.col("lead")).alias("minus")))
             pairs = (
-                by_lead.withColumn("fits", 100 * F.least("n", "m") >= self.percent * F.greatest("n", "m"))
-                .groupBy("head", "n", "main")
+                by_lead.groupBy("head", "n", "main")
                 .agg(F.sum("c").alias("all"), best.alias("best"))
                 .where(F.col("best.fits") & enough(F.col("n"), F.col("n"), F.col("all"), self.percent))
                 .groupBy("head")
                 .agg(F.max(F.struct("all", "best.minus")).alias("best"))
                 .select(F.col("head").alias("a"), (-F.col("best.minus")).alias("b"))
             )
-            gained = self.compare(pairs).where("linked").count()
+            found = self.compare(pairs)
+            tried, gained = found.agg(F.count(F.lit(1)), F.count_if("linked")).first()
             if not gained:
                 break
-            labels = self.current(f"labels-{i + 1}")
+            labels, step = self.current(f"labels-{step + 1}"), step + 1
+            if gained * LEAST_GAIN < tried:
+                open_ = self.open_tokens(labels, f"round-{step}")
+                break
         return open_
 
     def rest(self, open_: DataFrame) -> None:
         """Every pair of groups whose prefixes share enough, that fits in size and lies in different components."""
         # A pair shares no more shingles than either of its groups has here; that keeps hopeless pairs from being made.
+        # So do the sketches: members lie within `reach` of their head, so heads that are further apart have no similar
+        # members either.
         most = open_.groupBy("head").agg(F.countDistinct("token").alias("k"))
-        open_ = self.scratch.store(open_.join(most, "head"), "open")
-        few = open_.where("component <> main").select("token", F.col("head").alias("x"), F.col("n").alias("nx"), F.col("k").alias("kx"), F.col("component").alias("cx"), F.col("main").alias("mx"))
-        all_ = open_.select("token", F.col("head").alias("y"), F.col("n").alias("ny"), F.col("k").alias("ky"), F.col("component").alias("cy"))
+        open_ = self.scratch.store(open_.join(most, "head").join(self.like, ["head", "n"]), "open")
+        limit = 1 - self.percent / 100 + 1e-9
+        few = open_.where("component <> main").select(
+            "token", F.col("head").alias("x"), F.col("n").alias("nx"), F.col("k").alias("kx"), F.col("component").alias("cx"),
+            F.col("main").alias("mx"), F.col("sketch").alias("sx"), F.col("reach").alias("rx"),
+        )
+        all_ = open_.select(
+            "token", F.col("head").alias("y"), F.col("n").alias("ny"), F.col("k").alias("ky"), F.col("component").alias("cy"),
+            F.col("sketch").alias("sy"), F.col("reach").alias("ry"),
+        )
         fits = enough(F.col("nx"), F.col("ny"), F.least("kx", "ky"), self.percent) & (F.col("cx") != F.col("cy"))
+        near = least_distance(F.col("nx"), F.col("ny"), F.col("sx"), F.col("sy")) <= limit + F.col("rx") + F.col("ry")
         once = (F.col("cy") == F.col("mx")) | (F.col("x") < F.col("y"))
         pairs = (
             few.join(all_, "token")
-            .where(fits & once)
+            .where(fits & once & near)
             .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.least("nx", "ny").alias("na"), F.greatest("nx", "ny").alias("nb"))
             .agg(F.count(F.lit(1)).alias("c"))
             .where(enough(F.col("na"), F.col("nb"), F.col("c"), self.percent))
@@ -323,7 +363,6 @@ class Join:
         # Members lie within `reach` of their head; two of them are similar only if the heads are that near.
         reach = self.inside.where("node <> head").groupBy("head").agg(F.max("reach").alias("reach"))
         side = lambda c: reach.select(F.col("head").alias(c), F.col("reach").alias(f"r{c}"))
-        limit = 1 - self.percent / 100 + 1e-9
         near = (
             found.where("NOT linked")
             .join(side("a"), "a", "left")
@@ -336,9 +375,11 @@ class Join:
         group = group.unionByName(group.select("head", F.col("head").alias("node"), F.lit(0.0).alias("reach")).distinct())
         alone = lambda c: near.select(F.col(c).alias("head"), F.col(c).alias("node"), F.lit(0.0).alias("reach")).distinct()
         group = group.unionByName(alone("a")).unionByName(alone("b")).distinct()
-        x = group.select(F.col("head").alias("a"), F.col("node").alias("x"), F.col("reach").alias("rx"))
-        y = group.select(F.col("head").alias("b"), F.col("node").alias("y"), F.col("reach").alias("ry"))
-        pairs = near.join(x, "a").join(y, "b").where((F.col("rx") + F.col("ry") > 0) & (F.col("distance") <= limit + F.col("rx") + F.col("ry")))
+        own = self.nodes.select("node", "n", "sketch")
+        x = group.join(own, "node").select(F.col("head").alias("a"), F.col("node").alias("x"), F.col("reach").alias("rx"), F.col("n").alias("nx"), F.col("sketch").alias("sx"))
+        y = group.join(own, "node").select(F.col("head").alias("b"), F.col("node").alias("y"), F.col("reach").alias("ry"), F.col("n").alias("ny"), F.col("sketch").alias("sy"))
+        fits = (F.col("rx") + F.col("ry") > 0) & (F.col("distance") <= limit + F.col("rx") + F.col("ry"))
+        pairs = near.join(x, "a").join(y, "b").where(fits & (least_distance(F.col("nx"), F.col("ny"), F.col("sx"), F.col("sy")) <= limit))
         self.compare(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
 
     def run(self) -> DataFrame:
