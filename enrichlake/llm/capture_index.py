@@ -13,7 +13,8 @@ many captures spans ranges, as the order goes on with time and id.
 
 Defined results: a NULL html is an empty payload, a NULL url an empty key. Pages without an id keep none; a revisit
 of such pages points nowhere if no page of the group has an id. Repeated rows are captures of their own, of one type.
-Times come from a column if there is one, else from the page id, counted in seconds from `EPOCH`.
+Times come from a column if there is one, else from the page id: its remainder modulo `SPAN` in seconds from `EPOCH`, so
+that ids of any size and sign give times with a year of four digits, which sort as text.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from . import common
 
 EPOCH = "2024-01-01T00:00:00Z"
+SPAN = 1 << 37
 RECORDS_PER_FILE = 1000
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -70,7 +72,7 @@ def typed(pages: DataFrame, scratch: common.Scratch) -> DataFrame:
 
 def record(typed_pages: DataFrame, time: Column | None = None) -> DataFrame:
     """The text of each record, without the line breaks at its end."""
-    seconds = F.unix_timestamp(F.to_timestamp(F.lit(EPOCH))) + F.coalesce(F.col("page_id"), F.lit(0))
+    seconds = F.unix_timestamp(F.to_timestamp(F.lit(EPOCH))) + F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(SPAN))
     at = time if time is not None else F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))

@@ -200,7 +200,7 @@ def group_documents(rows: DataFrame, scratch: common.Scratch, history: DataFrame
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256.
 
-    The rows are taken as two deliveries, dealt by a hash of the digest's last byte and the id: the first is the
+    The rows are taken as two deliveries, dealt by a hash of the id: the first is the
     history that is indexed, the second is looked up. The result does not depend on how rows are dealt.
     """
     scratch = common.Scratch(docs.sparkSession, "exact-dedup")

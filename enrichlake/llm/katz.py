@@ -17,6 +17,8 @@ Work is done on blocks of documents and exchanged as packed arrays, so a row of
 
 Words are told apart by a 64-bit hash. Tables are rows by bucket in the run's scratch folder.
 
+Pairs are packed from two numbers of 32 bits; a corpus with more distinct words than that ends with an error.
+
 Defined results: a NULL text is empty and scores its end. A NULL id counts as the empty name and trains. Repeated rows
 count each. Without training text every count is 0 and every token is unknown. Other columns are not read.
 """
@@ -145,6 +147,9 @@ def _totals(rows: pd.DataFrame) -> pd.DataFrame:
     values, n = np.unique(counts, return_counts=True)
     return pd.DataFrame({"bucket": [rows["bucket"].iloc[0]], "words": [pack(steps(words))], "counts": [pack(small(counts))], "values": [values.tolist()], "n": [n.tolist()]})
 
+#: Words that numbers of 32 bits tell apart, 0 being unknown words.
+MOST_WORDS = (1 << 32) - 1
+
 
 class Counts:
     """Own chances of words by number: words are numbered from 1 by falling count, 0 is an unknown word."""
@@ -155,6 +160,8 @@ class Counts:
         self.ends = np.cumsum(size)
         self.first = dict(zip(self.value.tolist(), (self.ends - size + 1).tolist(), strict=True))
         self.tokens, self.types = int((self.value * size).sum()), int(size.sum())
+        if self.types >= MOST_WORDS:
+            raise ValueError(f"{self.types} distinct words; pairs are packed from numbers of 32 bits")
         d = discounts([number_of.get(r, 0) for r in range(1, K + 2)])
         chance = discounted(self.value, d) / max(1, self.tokens)
         left = 1 - float((chance * size).sum())

@@ -99,11 +99,17 @@ def scan(versions: DataFrame, path: str, text_col: str = "text", rules: tuple[Ru
     Returns the number of pairs that were scanned.
     """
     spark = versions.sparkSession
-    blobs = addressed(versions, text_col).groupBy("blob").agg(F.first("_text").alias("_text"))
     old = ledger(spark, path)
     seen = old.groupBy("blob").agg(F.collect_set("mark").alias("seen"))
     wanted = F.array(*[F.lit(r.mark) for r in rules])
-    todo = blobs.join(seen, "blob", "left").withColumn("missing", F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>"))))
+    missing = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
+    texts = addressed(versions, text_col)
+    if old.isEmpty():
+        todo = texts.groupBy("blob").agg(F.first("_text").alias("_text")).withColumn("missing", wanted)
+    else:
+        # Digests are held against the ledger first; only texts that lack a rule are brought together.
+        lacking = texts.select("blob").distinct().join(seen, "blob", "left").withColumn("missing", missing).where(F.size("missing") > 0)
+        todo = texts.join(lacking.select("blob", "missing"), "blob").groupBy("blob").agg(F.first("_text").alias("_text"), F.first("missing").alias("missing"))
     found = F.array(*[F.when(F.array_contains("missing", r.mark), _scanned(r)) for r in rules])
     rows = todo.where(F.size("missing") > 0).select("blob", F.explode(F.filter(found, lambda x: x.isNotNull())).alias("f")).select("blob", "f.*")
     before = old.count()

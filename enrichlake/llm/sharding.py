@@ -185,9 +185,15 @@ def shard_documents(docs: DataFrame, shards: int | None = SHARDS, capacity: int
 
 
 def write_shards(docs: DataFrame, path: str, shards: int | None = SHARDS, capacity: int | None = None) -> None:
-    """Write the documents as they are, a folder per shard."""
-    placed = shard_documents(docs, shards, capacity).select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard")).distinct()
-    docs.join(placed, docs["doc_id"].cast("bigint").eqNullSafe(F.col("_id"))).drop("_id").write.partitionBy("_shard").parquet(path)
+    """Write the documents as they are, a folder per shard.
+
+    The text decides the shard, so every row finds it by its text alone: repeated ids and rows without one are written once.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), (F.octet_length(text) + 1).cast("bigint").alias("size"), F.unhex(F.sha2(text, 256)).alias("group"))
+    placed = assign(rows, common.Scratch(docs.sparkSession, "shards"), shards, capacity)
+    placed.select("row.*", F.col("shard").alias("_shard")).write.partitionBy("_shard").parquet(path)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,8 +140,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = FE
         .limit(sample)
     )
     scratch = common.Scratch(docs.sparkSession, "site-quality-fit")
-    # At most `sample` rows of three small columns are sent to the tasks, and as many texts are stored.
-    rows = scratch.store(docs.join(F.broadcast(drawn), F.col("doc_id").cast("bigint") == F.col("_id")).select("text", "bad", "toxic"), "sample")
+    # At most `sample` rows of a few small columns are sent to the tasks. An id may stand for many rows: equal texts count
+    # once, and again no more than `sample` of what is left is fitted.
+    found = docs.join(F.broadcast(drawn), F.col("doc_id").cast("bigint") == F.col("_id")).select("_id", "text", "bad", "toxic")
+    found = found.withColumn("_text_key", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    keys = ["_id", "_text_key", "bad", "toxic"]
+    kept = found.select(*keys).distinct().orderBy(F.xxhash64("_id", "_text_key"), *keys).limit(sample)
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    kept = scratch.store(kept.select(*[F.col(k).alias(f"_of_{k}") for k in keys]), "kept")
+    rows = found.join(F.broadcast(kept), same).groupBy(*keys).agg(F.first("text").alias("text"))
+    rows = scratch.store(rows.select("text", "bad", "toxic"), "sample")
     kind = "feature binary, n bigint, bad bigint, toxic bigint"
     counts = rows.mapInArrow(_feature_counts, kind).groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", *TARGETS)])
     counts = scratch.store(counts.where(F.col("n") >= LEAST_DOCUMENTS), "counts")

@@ -94,6 +94,71 @@ def test_odd_rows_and_no_labels(spark):
     assert site_quality.classify(nothing(spark), labels).count() == 0
 
 
+def strength_of(groups):
+    """Documents that a prior is worth; `groups` has (n, s, mean rate of the parent)."""
+    n = sum(g[0] for g in groups)
+    seen = sum(g[0] * (g[1] / g[0] - g[2]) ** 2 for g in groups)
+    between = (seen - sum(g[2] * (1 - g[2]) for g in groups)) / n
+    within = sum(g[2] * (1 - g[2]) * g[0] for g in groups) / n
+    least, most = site_quality.STRENGTH
+    return min(max(within / between - 1, least), most) if between > 0 else most
+
+
+def posteriors(rows, weights, constants):
+    """Every column by plain loops, given the fitted weights."""
+    logit = lambda p: math.log(min(max(p, 1e-9), 1 - 1e-9)) - math.log(1 - min(max(p, 1e-9), 1 - 1e-9))
+    chance = lambda x: 1 / (1 + math.exp(-x))
+    seen = []
+    for i, text, lang, source in rows:
+        found = site_quality.features((text or "").encode())
+        evidence = [constants[t][0] + sum(w[k] for f, w in weights.items() if f in found) for k, t in enumerate(site_quality.TARGETS)]
+        seen.append((i, source or "", "/".join(x for x in (source, lang) if x is not None), evidence))
+    out = [[i, host, path] for i, host, path, _ in seen]
+    for k, t in enumerate(site_quality.TARGETS):
+        own = [chance(e[k] + logit(constants[t][1])) for *_, e in seen]
+        by_host, by_path = {}, {}
+        for (_, host, path, _), p in zip(seen, own, strict=True):
+            for groups, key in ((by_host, host), (by_path, (host, path))):
+                n, s = groups.get(key, (0, 0.0))
+                groups[key] = n + 1, s + p
+        mean = sum(own) / len(own)
+        strong = strength_of([(n, s, mean) for n, s in by_host.values()])
+        host_rate = {h: (s + strong * mean) / (n + strong) for h, (n, s) in by_host.items()}
+        path_strong = strength_of([(n, s, host_rate[h]) for (h, _), (n, s) in by_path.items()])
+        for row, (_, host, path, e), p in zip(out, seen, own, strict=True):
+            n, s = by_path[host, path]
+            rate = (max(0.0, s - p) + path_strong * host_rate[host]) / (n - 1 + path_strong)
+            row += [rate, chance(e[k] + logit(rate))]
+    return sorted(((i, h, p, pb, pt, rb, rt, pb <= 0.5 and pt <= 0.5) for i, h, p, rb, pb, rt, pt in out), key=lambda r: (str(r[0]), *map(str, r[1:3])))
+
+
+def test_posteriors_by_brute_force(spark):
+    docs, labels = sf(spark, "documents", "/root/testdata/sf0.01"), sf(spark, "labels", "/root/testdata/sf0.01")
+    rows = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()]
+    weights, constants = site_quality.fit(docs.select("doc_id", "text"), labels)
+    assert len(weights) > 20
+    expected = posteriors(rows, weights, constants)
+    got = sorted((tuple(r) for r in site_quality.classify(docs, labels).collect()), key=lambda r: (str(r[0]), *map(str, r[1:3])))
+    assert [(*r[:3], r[-1]) for r in got] == [(*r[:3], r[-1]) for r in expected]
+    assert np.allclose([r[3:7] for r in got], [r[3:7] for r in expected], atol=1e-9)
+
+
+def test_the_fit_is_bounded(spark, monkeypatch):
+    """One labelled id on very many rows, with equal and with different texts."""
+    rows = [(1, f"bad words here {i % 90} and more" if i % 3 else "the same text", "en", "s") for i in range(600)]
+    rows += [(2 + i, f"good text number {i}", "en", "s") for i in range(40)]
+    labels = spark.createDataFrame([(1, 0, 0), *((2 + i, 1, 0) for i in range(40))], "doc_id long, quality int, toxic int")
+    fitted, plain = [], site_quality.regress
+    monkeypatch.setattr(site_quality, "regress", lambda row, col, y, width: fitted.append(len(y)) or plain(row, col, y, width))
+    site_quality.fit(documents(spark, rows).select("doc_id", "text"), labels, sample=50)
+    assert fitted and max(fitted) <= 50
+
+
+def test_too_many_words_are_an_error():
+    with pytest.raises(ValueError, match="distinct words"):
+        katz.Counts({1: 1 << 32})
+
+
 def test_sparse_paths_are_drawn_to_their_host(spark):
     rows = []
     for host, share in (("good", 0.0), ("poor", 0.9)):

@@ -94,6 +94,19 @@ def test_runs_are_best_fit_decreasing(seed):
     assert seen == counts and bins == len(rooms) and sorted(max(0, capacity - x) for x in filled.values()) == sorted(rooms)
 
 
+def test_rows_are_written_once(spark, tmp_path):
+    rows = [(1, "one", "en", "s"), (1, "two words", "en", "s"), (None, "three", "en", "s"), (None, "one", "en", "s"), (1, "one", "en", "s"), (2, None, "en", "s"), (3, "", "en", "s")]
+    docs = documents(spark, rows)
+    sharding.write_shards(docs, f"{tmp_path}/shards", shards=3)
+    back = spark.read.parquet(f"{tmp_path}/shards")
+    assert Counter((r["doc_id"], r["text"]) for r in back.collect()) == Counter(r[:2] for r in rows)
+    assert set(docs.columns) < set(back.columns)
+    homes = {}
+    for r in back.collect():
+        homes.setdefault(r["text"] or "", set()).add(r["_shard"])
+    assert all(len(h) == 1 for h in homes.values())
+
+
 def test_shards(spark):
     hot = [(1000 + i, "a copy of one text " * 20, "en", "s") for i in range(60)]
     given = [(r["doc_id"], r["text"]) for r in sf(spark, "documents").collect()]

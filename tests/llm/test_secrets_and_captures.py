@@ -92,6 +92,17 @@ def test_archives_and_index(spark, monkeypatch):
     assert capture_index.archive(odd.limit(0)).count() == 0
 
 
+def test_ids_of_any_size_and_sign(spark):
+    ids = [6148914691236517205, -9223372036854775808, 9223372036854775807, -1, 0, 253402300800, 5, None]
+    pages = spark.createDataFrame([(i, "http://a.com/x", f"page {i}") for i in ids], "page_id long, url string, html string")
+    got = capture_index.archive(pages).collect()
+    assert sorted((r["page_id"] for r in got), key=str) == sorted(ids, key=str)
+    assert all(len(r["captured"]) == 20 and r["captured"] >= "2024" for r in got)
+    times = [r["captured"] for r in got]
+    assert times == sorted(times)
+    assert {r["page_id"]: r["captured"] for r in got}[5] == "2024-01-01T00:00:05Z"
+
+
 def test_url_key(spark):
     df = spark.createDataFrame([("http://WWW2.Sub.Example.com/A?b#c",), (None,)], "u string")
     assert [r[0] for r in df.select(capture_index.url_key(df.u)).collect()] == ["com,example,sub)/a?b", ")/"]
