@@ -160,11 +160,29 @@ from (select n_nationkey, n_name, p_brand, count(*) + n_nationkey * 7 + cast(rep
 ALIASES = """
 select p_partkey as ord, concat('part ', cast(p_partkey as string)) as code, p_brand as category, p_name as alias from part
 union all select 1000000000 + item_id, concat('passage ', cast(item_id as string)), 'benchmark',
-  regexp_extract(text, '^[A-Za-z]+ [a-z]+( [a-z]+)?') from benchmark
-union all select 2000000000 + doc_id, concat('opening ', cast(doc_id as string)), lang, regexp_extract(text, '^[A-Za-z]+ [a-z]+( [a-z]+)?') from documents
+  regexp_extract(text, '^[A-Za-z]+ [a-z]+( [a-z]+)?', 0) from benchmark
+union all select 2000000000 + doc_id, concat('opening ', cast(doc_id as string)), lang, regexp_extract(text, '^[A-Za-z]+ [a-z]+( [a-z]+)?', 0) from documents
+"""
+
+# Chains of parents up to 45 steps, circles of three, and a hub under which a third of all parts stand.
+PARENTS = """
+select concat('p', cast(p_partkey as string)) as entity,
+  case when p_partkey % 50 in (1, 2) then concat('p', cast(p_partkey + 1 as string)) when p_partkey % 50 = 3 then concat('p', cast(p_partkey - 2 as string))
+    when p_partkey % 50 = 0 then null when p_partkey % 50 = 4 then 'named only as a parent'
+    when p_partkey % 3 = 0 then 'hub' else concat('p', cast(p_partkey - 1 as string)) end as parent from part
+union all select 'hub', 'top'
+"""
+
+# Employers of more people than there are companies for, spelt in four ways.
+EMPLOYERS = """
+select c_custkey as person_id, case c_custkey % 4 when 0 then concat('Vendor ', k, ' Corp') when 1 then concat('VENDOR, ', k, ' & Sons Inc.')
+  when 2 then concat('The ', k, ' vendor') else concat('Unknown Firm ', k) end as employed_company
+from (select c_custkey, cast(c_custkey % cast(floor(n * 1.25) as int) as string) as k from customer, (select cast(count(*) as int) as n from supplier))
 """
 
 FIXTURES = {
+    "parents": PARENTS,
+    "employers": EMPLOYERS,
     "profiles": PROFILES,
     "aliases": ALIASES,
     "site_pages": SITE_PAGES,
@@ -180,6 +198,8 @@ FIXTURES = {
 
 # Tables each fixture reads.
 READS = {
+    "parents": ("part",),
+    "employers": ("customer", "supplier"),
     "profiles": ("nation", "part"),
     "aliases": ("part", "benchmark", "documents"),
     "site_pages": ("documents",),

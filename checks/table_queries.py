@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from enrichlake.contracts import Contract, company_contracts, person_contracts
 from enrichlake.functions import catalogs as cat
 from enrichlake.functions import profiles as pr
-from enrichlake.operators import bronze, drift, icp, icp_many, people, quality, resolve
+from enrichlake.operators import bronze, drift, entities, icp, icp_many, people, quality, resolve
 from enrichlake.operators import profiles as pj
 from enrichlake.plans import companies as cp
 from enrichlake.plans import pages as plan
@@ -926,6 +926,36 @@ def person_rows_from_contacts(spark, sf_dir):
     return rows.select("record_id", "job_title", "job_title_source", "email")
 
 
+@query("with recursive " + with_fixtures("parents", body=""", up(entity, here, step) as (
+  select entity, entity, 0 from parents union all select u.entity, p.parent, u.step + 1 from up u join parents p on p.entity = u.here where p.parent is not null and u.step < 120),
+tops as (select u.entity, u.here from up u left join parents p on p.entity = u.here where p.parent is null),
+rounds as (select entity, min(here) as root from up where step > 60 group by entity)
+select p.entity, coalesce(t.here, r.root) as root, t.here is null as circular from parents p left join tops t on t.entity = p.entity left join rounds r on r.entity = p.entity
+union all select distinct parent, parent, false from parents where parent is not null and parent not in (select entity from parents)""").removeprefix("with "))
+def entity_roots(spark, sf_dir):
+    """E10 over chains of parents and circles."""
+    return entities.entity_roots(fixture(spark, sf_dir, "parents"))
+
+
+@query(with_fixtures("employers", "companies", body=r""", n as (select employed_company as name, null as id from employers union all select name, company_id from companies),
+w as (select distinct name, id, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(regexp_replace(name, SUFFIX, '', 'gi')), '[^a-z0-9]+'), lambda x: x <> ''))) as ws from n),
+df as (select word, greatest(1, 1000000 // count(*)) as weight from (select unnest(ws) as word from w where id is not null) group by word),
+e as (select distinct array_to_string(ws, ' ') as e, ws from w where id is null and len(ws) > 0),
+et as (select e, sum(coalesce(weight, 1000000)) as t from (select e, unnest(ws) as word from e) x left join df using (word) group by e),
+ct as (select id, sum(weight) as t from (select id, unnest(ws) as word from w where id is not null) x join df using (word) group by id),
+s as (select e.e, c.id, sum(df.weight) as shared from (select e, unnest(ws) as word from e) e join (select id, unnest(ws) as word from w where id is not null) c using (word) join df using (word) group by e.e, c.id),
+p as (select s.e, s.id, cast(1000000 * shared // (et.t + ct.t - shared) as bigint) as score from s join et on et.e = s.e join ct on ct.id = s.id where 100 * shared >= 50 * (et.t + ct.t - shared)),
+r as (select *, rank() over (partition by e order by score desc) as re, rank() over (partition by id order by score desc) as rc from p),
+b as (select *, count(*) filter (re = 1) over (partition by e) as ne, count(*) filter (rc = 1) over (partition by id) as nc from r)
+select person_id, b.id as linked_company_id, b.score as link_score from employers q
+left join (select distinct name, array_to_string(ws, ' ') as e from w where id is null) k on k.name = q.employed_company
+left join b on b.e = k.e and re = 1 and rc = 1 and ne = 1 and nc = 1""".replace("SUFFIX", s.q(cat.LEGAL_SUFFIX))))
+def company_person_scored(spark, sf_dir):
+    """R10 by rare words, each the other's best."""
+    out = entities.company_person_scored(fixture(spark, sf_dir, "employers"), fixture(spark, sf_dir, "companies"))
+    return out.select("person_id", "linked_company_id", "link_score")
+
+
 @query(with_fixtures("people", "companies", body="select person_id, c.company_id as linked_company_id from people p left join companies c "
                      "on replace(lower(c.name), ' corp', '') = replace(lower(p.company_name), ' corp', '')"))
 def company_person_link(spark, sf_dir):

@@ -64,6 +64,8 @@ def assemble_company_rows(
         spread_nulls(t.blank_to_null(F.col("domain")), F.concat(F.lit("r"), F.col("record_id").cast("string"))).alias("_key"),
         *left_cols,
     )
+    # Read three times below: for the choice, for the pages and for what no page took.
+    left = checkpointed(left)
     right = page_rows.select(
         spread_nulls(F.col("domain_normalize"), F.concat(F.lit("p"), F.col("page_id").cast("string"))).alias("_key"),
         "page_id",

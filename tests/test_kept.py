@@ -1,11 +1,12 @@
 """Failing field jobs, kept history, kept resolution, many profiles, dictionary tables."""
 
 import random
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
 
-from enrichlake.operators import icp, icp_many, page_fields, resolve
+from enrichlake.operators import entities, icp, icp_many, page_fields, resolve
 from enrichlake.operators.drift import drift_flags
 from enrichlake.operators.page_structure import dictionary_match, dictionary_match_table
 from enrichlake.plans import history as history_module
@@ -301,3 +302,79 @@ def test_spine_with_line_breaks_in_cells(spark, tmp_path, quoted_breaks):
     assert len(rows) == (2 if quoted_breaks else 3)
     if quoted_breaks:
         assert rows[0]["name"] == 'A\n"B", C'
+
+
+# --- E10, R10 across rows -----------------------------------------------------------
+def ends_of(links):
+    parent = dict(links)
+    out = {}
+    for e in {*parent, *(p for p in parent.values() if p is not None)}:
+        way, at = [], e
+        while at not in way and parent.get(at) not in (None, at):
+            way.append(at)
+            at = parent[at]
+        circular = at in way
+        out[e] = (min(way[way.index(at) :]), True) if circular else (at, False)
+    return sorted((e, *r) for e, r in out.items())
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_roots_of_chains_and_circles(spark, seed):
+    draw = random.Random(seed)
+    links = [(f"n{i}", draw.choice([None, f"n{i}", "outside", *(f"n{draw.randrange(60)}" for _ in range(6))])) for i in range(60)]
+    links += [(f"c{i}", f"c{i + 1}") for i in range(37)] + [(f"r{i}", f"r{(i + 1) % 23}") for i in range(23)] + [("tail", "r5"), ("tail2", "tail")]
+    got = entities.entity_roots(spark.createDataFrame([*links, (None, "x")], "entity string, parent string"))
+    assert sorted(map(tuple, got.collect())) == ends_of(links)
+
+
+def test_no_links(spark):
+    assert entities.entity_roots(spark.createDataFrame([], "entity string, parent string")).count() == 0
+
+
+def test_parents_by_most_pages(spark):
+    kind = "company_entity_resolve struct<domain:string,company_name:string,parent_guess:string>"
+    rows = [(("a.com", None, "Big Co"),), (("a.com", "A", "Big Co"),), (("a.com", None, "Other"),), (("b.com", None, None),), (("c.com", None, "Y"),), (("c.com", None, "X"),), (None,)]
+    got = entities.parent_links(spark.createDataFrame(rows, kind))
+    assert sorted(map(tuple, got.collect())) == [("a-com", "big-co"), ("b-com", None), ("c-com", "x")]
+
+
+def best_links(employers, companies, percent=50):
+    words = lambda n: tuple(sorted({w for w in "".join(ch if ch.isalnum() else " " for ch in (n or "").lower()).split() if w not in ("corp", "inc")}))
+    firms = {}
+    for i, n in companies:
+        if i is not None and words(n):
+            firms[i] = tuple(sorted({*firms.get(i, ()), *words(n)}))
+    held = {}
+    for ws in firms.values():
+        for w in ws:
+            held[w] = held.get(w, 0) + 1
+    weight = lambda w: max(1, 1_000_000 // held[w]) if w in held else 1_000_000
+    score = {}
+    for e, (c, ws) in product({words(n) for n in employers} - {()}, firms.items()):
+        shared = sum(weight(w) for w in e if w in ws)
+        joint = sum(map(weight, {*e, *ws}))
+        if shared and 100 * shared >= percent * joint:
+            score[e, c] = 1_000_000 * shared // joint
+
+    def only(i, side):
+        own = {k: s for k, s in score.items() if k[side] == i}
+        top = [k for k, s in own.items() if s == max(own.values())]
+        return top[0] if len(top) == 1 else None
+
+    out = []
+    for n in employers:
+        k = only(words(n), 0)
+        out.append((n, k[1], score[k]) if k and only(k[1], 1) == k else (n, None, None))
+    return sorted(out, key=str)
+
+
+def test_employers_link_to_their_best_company(spark):
+    draw = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(14)] + ["the", "the", "group"]
+    name = lambda: " ".join(draw.choice(vocabulary) for _ in range(draw.randrange(1, 5))) + draw.choice(["", " Corp", ", Inc."])
+    companies = [(i, name()) for i in range(40)] + [(None, "w1"), (50, None), (51, "!!")]
+    employers = [name() for _ in range(150)] + [None, "", "Corp", "unheard of"]
+    people = spark.createDataFrame([(e,) for e in employers], "employed_company string")
+    got = entities.company_person_scored(people, spark.createDataFrame(companies, "company_id long, name string"))
+    found = sorted((tuple(r) for r in got.select("employed_company", "linked_company_id", "link_score").collect()), key=str)
+    assert found == best_links(employers, companies) and sum(r[1] is not None for r in found) > 5
