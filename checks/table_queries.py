@@ -18,6 +18,7 @@ from enrichlake.plans.history import History
 from enrichlake.plans.resolution import Resolution
 from enrichlake.session import checkpointed, shared_folder
 from enrichlake.sources import readers, writers
+from enrichlake.streaming.drift import closing_row, drift_stream
 
 from . import page_sql as s
 from .fixtures import fixture, table, with_fixtures
@@ -50,10 +51,13 @@ def drift_deliveries(spark, sf_dir) -> list[DataFrame]:
     return [rows.where(part == i).drop("at") for i in range(4)]
 
 
-@query(with_fixtures("drift_history", body="""select field, seq, n as previous, k as previous_empty, coalesce(is_empty and n >= 5
+ONE_SHOT_DRIFT = with_fixtures("drift_history", body="""select field, seq, n as previous, k as previous_empty, coalesce(is_empty and n >= 5
   and 1.0 > least(mean + 2 * sd, 1.0), false) as drifting from (select *, count(*) over w as n, cast(coalesce(sum(is_empty::int) over w, 0) as bigint) as k,
   avg(is_empty::int) over w as mean, stddev_samp(is_empty::int) over w as sd from drift_history
-  window w as (partition by field order by ts, seq rows between 19 preceding and 1 preceding))"""))
+  window w as (partition by field order by ts, seq rows between 19 preceding and 1 preceding))""")
+
+
+@query(ONE_SHOT_DRIFT)
 def drift_incremental(spark, sf_dir):
     """Four deliveries, the third one sent twice; each reads only the tails of the one before."""
     kept = History(spark, shared_folder(spark, "drift-history"))
@@ -64,6 +68,18 @@ def drift_incremental(spark, sf_dir):
     return reduce(DataFrame.unionByName, flags).select("field", "seq", "previous", "previous_empty", "drifting")
 
 
+@query(ONE_SHOT_DRIFT)
+def drift_streamed(spark, sf_dir):
+    """The same observations as a stream of shuffled files; a closing row drains it."""
+    folder = shared_folder(spark, "drift-stream")
+    rows = fixture(spark, sf_dir, "drift_history").select("field", F.col("ts").cast("timestamp").alias("ts"), F.col("seq").cast("bigint").alias("seq"), "is_empty")
+    for part in (rows.repartition(6, F.xxhash64("seq")), closing_row(rows)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 3).parquet(f"{folder}/in")
+        drift_stream(stream, f"{folder}/out", f"{folder}/state", "3650 days").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("field", "seq", "previous", "previous_empty", "drifting")
+
+
 @query(with_fixtures("drift_history", body="select field, count(*) as observations, cast(sum(is_empty::int) as bigint) as empty_rows, min(seq) as first_seq from drift_history group by field"))
 def quality_history(spark, sf_dir):
     """Batches written, one of them again, and read back by key."""

@@ -15,6 +15,7 @@ from enrichlake.plans import resolution as resolution_module
 from enrichlake.plans.history import History
 from enrichlake.plans.resolution import Resolution
 from enrichlake.sources import readers, writers
+from enrichlake.streaming.drift import closing_row, drift_stream, late_rows
 
 PAGE = "Acme Corp is a software company with many happy clients in the whole world and more words to come here."
 
@@ -378,3 +379,38 @@ def test_employers_link_to_their_best_company(spark):
     got = entities.company_person_scored(people, spark.createDataFrame(companies, "company_id long, name string"))
     found = sorted((tuple(r) for r in got.select("employed_company", "linked_company_id", "link_score").collect()), key=str)
     assert found == best_links(employers, companies) and sum(r[1] is not None for r in found) > 5
+
+
+# --- Q10 as a stream ------------------------------------------------------------------
+def streamed(spark, folder, deliveries, delay):
+    """Write each delivery as files, stream them in, close the stream; (flags, late rows)."""
+    schema = "field string, ts timestamp, seq long, is_empty boolean"
+    for part in deliveries:
+        observed(spark, part).repartition(2).write.mode("append").parquet(f"{folder}/in")
+        query = drift_stream(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in"), f"{folder}/out", f"{folder}/ck", delay)
+        query.awaitTermination()
+        yield late_rows(query)
+    closing_row(observed(spark, [])).write.mode("append").parquet(f"{folder}/in")
+    drift_stream(spark.readStream.schema(schema).parquet(f"{folder}/in"), f"{folder}/out", f"{folder}/ck", delay).awaitTermination()
+    yield 0
+
+
+def test_a_shuffled_stream_equals_the_batch(spark, tmp_path):
+    rows = [(f, 1000 + ts, *more) for f, ts, *more in some_rows(120)]
+    shuffled = random.Random(2).sample(rows, len(rows))
+    assert sum(streamed(spark, tmp_path, [shuffled[:70], shuffled[70:]], "1000 seconds")) == 0
+    assert flags_of(spark.read.parquet(f"{tmp_path}/out")) == flags_of(drift_flags(observed(spark, rows)))
+
+
+def test_late_observations_are_counted(spark, tmp_path):
+    rows = [("a", 1000 + i, i, False) for i in range(100)]
+    late = sum(streamed(spark, tmp_path, [rows, [("a", 1003, 999, True), ("a", 1099, 1000, True)], [("a", 1004, 998, True)]], "200 seconds"))
+    assert late == 0
+    kept = [*rows, ("a", 1003, 999, True), ("a", 1004, 998, True), ("a", 1099, 1000, True)]
+    assert flags_of(spark.read.parquet(f"{tmp_path}/out")) == flags_of(drift_flags(observed(spark, kept)))
+    other = tmp_path / "strict"
+    late = sum(streamed(spark, other, [rows[:50], rows[50:], [("a", 1003, 999, True), ("a", 1099, 1000, True)], [("a", 1004, 998, True)]], "60 seconds"))
+    assert late == 2
+    kept = [*rows, ("a", 1099, 1000, True)]
+    tmp_path = other
+    assert flags_of(spark.read.parquet(f"{tmp_path}/out")) == flags_of(drift_flags(observed(spark, kept)))
