@@ -47,7 +47,7 @@ PERCENT = 90
 #: Counters of the frequency table and the number of rows that carry it.
 COUNTERS, CHUNKS = 1 << 21, 64
 #: Rounds go on while at least one in so many comparisons links two components.
-LEAST_GAIN = 20
+LEAST_GAIN = 100
 #: Bits of a parity sketch, and bytes of sets that a worker keeps while it compares.
 SKETCH_BITS = 512
 KEPT_BYTES = 32 << 20
@@ -278,7 +278,11 @@ class Join:
         own = self.whole.join(strays.select("head").distinct(), "head", "left_semi")
         own = own.unionByName(own.join(strays, "head").select(F.col("stray").alias("head"), "n", "prefix"))
         own = own.select("head", "n", F.explode("prefix").alias("token")).select(self.index.columns)
-        self.index = self.scratch.store(self.index.unionByName(own), "index-all").distinct()
+        rows = self.scratch.store(self.index.unionByName(own), "index-all").distinct()
+        # How often others hold what a head holds: of a family, the text it stems from holds the most.
+        held = rows.groupBy("token").agg(F.count(F.lit(1)).alias("holders"))
+        fame = rows.join(held, "token").groupBy("head").agg(F.sum("holders").alias("fame"))
+        self.index = self.scratch.store(rows.join(fame, "head"), "index-fame")
         # What a head's node is like: an id may have several texts, and so several sketches and sizes.
         reach = self.inside.where("node <> head").groupBy("head").agg(F.max("reach").alias("reach"))
         self.like = self.scratch.store(
@@ -289,20 +293,22 @@ class Join:
         """Index rows of the shingles that several components share, with the largest component of the shingle."""
         with_label = self.index.join(labels.select(F.col("node").alias("head"), "component"), "head", "left")
         rows = self.scratch.store(with_label.withColumn("component", F.coalesce("component", "head")), f"{name}-rows")
-        counts = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"), F.min("head").alias("lead"))
+        known = F.max(F.struct("fame", (-F.col("head")).alias("minus")))
+        counts = rows.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c"), known.alias("known"))
         tokens = (
             counts.groupBy("token")
-            .agg(F.max(F.struct("c", "component", "lead")).alias("top"), F.sum("c").alias("total"), F.count(F.lit(1)).alias("parts"))
+            .agg(F.max(F.struct("c", "known", "component")).alias("top"), F.sum("c").alias("total"), F.count(F.lit(1)).alias("parts"))
             .where("parts > 1")
-            .select("token", F.col("top.component").alias("main"), F.col("top.lead").alias("lead"), "total")
+            .select("token", F.col("top.component").alias("main"), (-F.col("top.known.minus")).alias("lead"), "total")
         )
-        return self.scratch.store(rows.join(tokens, "token"), f"{name}-open")
+        return self.scratch.store(rows.drop("fame").join(tokens, "token"), f"{name}-open")
 
     def rounds(self) -> DataFrame:
         """Compare each group with the head that shares most of its prefix, until few pairs are left to compare."""
         labels, step = self.current("labels-0"), 0
         lead = self.like.select(F.col("head").alias("lead"), F.col("n").alias("m"), F.col("sketch").alias("of_lead"))
         limit = 1 - self.percent / 100 + 1e-9
+        tried_before = None
         while True:
             open_ = self.open_tokens(labels, f"round-{step}")
             apart = open_.where("component <> main")
@@ -311,6 +317,8 @@ class Join:
                 break
             # What a group shares with all leads of a component bounds what it shares with one of its members.
             by_lead = apart.groupBy("head", "n", "main", "lead").agg(F.count(F.lit(1)).alias("c")).join(lead, "lead").join(self.like.select("head", "n", "sketch"), ["head", "n"])
+            if tried_before is not None:  # these were not similar
+                by_lead = by_lead.join(tried_before, (F.col("head") == F.col("_a")) & (F.col("lead") == F.col("_b")), "left_anti")
             near = least_distance(F.col("n"), F.col("m"), F.col("sketch"), F.col("of_lead"))
             best = F.max(F.struct((near <= limit).alias("fits"), "c", (-F.col("lead")).alias("minus")))
             pairs = (
@@ -322,6 +330,8 @@ class Join:
                 .select(F.col("head").alias("a"), (-F.col("best.minus")).alias("b"))
             )
             found = self.compare(pairs)
+            apart_now = found.where("NOT linked").select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+            tried_before = apart_now if tried_before is None else tried_before.unionByName(apart_now)
             tried, gained = found.agg(F.count(F.lit(1)), F.count_if("linked")).first()
             if not gained:
                 break
