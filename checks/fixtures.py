@@ -22,7 +22,11 @@ def _when(test: str, *parts: str) -> str:
     return f"case when {test} then concat({', '.join(parts)}) else '' end"
 
 
-_N = "cast(doc_id % 400 as string)"
+# Vendors, employers and companies grow with the tables they come from.
+_VENDORS = "(select cast(floor(count(*) * 0.4) as int) from documents)"
+_EMPLOYERS = "(select cast(floor(count(*) * 1.2) as int) from supplier)"
+_COMPANIES = "(select cast(floor(count(*) * 0.5) as int) from supplier)"
+_N = "vendor"
 _NL = "chr(10), chr(10)"
 
 SITE_PAGES = f"""
@@ -65,7 +69,7 @@ select doc_id as page_id,
     {_when("doc_id % 8 = 6", "'[Video](https://youtube.com/v) and [Post](https://x.com/v)'", "chr(10)")},
     {_when("doc_id % 8 = 3", "'See https://www.g2.com/products/v or https://twitter.com/v today'", "chr(10)")}
   ) end as markdown
-from documents
+from (select *, cast(doc_id % {_VENDORS} as string) as vendor from documents) d
 """
 
 DETECTED = """
@@ -88,7 +92,7 @@ select s_suppkey as company_id, concat('Vendor ', cast(s_suppkey as string), ' C
 from supplier join nation on s_nationkey = n_nationkey
 """
 
-PEOPLE = """
+PEOPLE = f"""
 select c_custkey as person_id,
   concat(case when c_custkey % 9 = 0 then 'Dr ' else '' end, 'Ada ', case when c_custkey % 5 = 0 then 'K. ' else '' end,
     case when c_custkey % 11 = 0 then '(Addie) ' else '' end, 'Person', cast(c_custkey as string),
@@ -96,8 +100,8 @@ select c_custkey as person_id,
   case c_custkey % 9 when 0 then 'VP of Sales' when 1 then 'Chief Executive Officer' when 2 then 'Director of Sales'
     when 3 then 'Engineering Manager' when 4 then 'Sales Assistant' when 5 then 'Vice President'
     when 6 then 'Managing Partner' when 7 then 'GP & Analyst' else 'Analyst' end as job_title,
-  case when c_custkey % 3 = 0 then null else concat('s', cast(c_custkey % 120 as string), '.example.com') end as company_domain,
-  concat('Vendor ', cast(c_custkey % 120 as string), ' Corp') as company_name,
+  case when c_custkey % 3 = 0 then null else concat('s', cast(c_custkey % {_EMPLOYERS} as string), '.example.com') end as company_domain,
+  concat('Vendor ', cast(c_custkey % {_EMPLOYERS} as string), ' Corp') as company_name,
   (c_custkey * 13) % 900 as connections, c_mktsegment, n_name as country,
   concat('Building at Acme Corp. Follow @user', cast(c_custkey as string), ' on https://me.example.com/', cast(c_custkey as string), '. ',
     case when c_custkey % 3 = 0 then 'I work on machine learning and fintech. Hiring for ' else 'I like walks @ ' end,
@@ -105,10 +109,10 @@ select c_custkey as person_id,
 from customer join nation on c_nationkey = n_nationkey
 """
 
-EXPERIENCE = """
+EXPERIENCE = f"""
 select o_custkey as person_id, o_orderkey as pos,
-  concat('Company ', cast(o_orderkey % 50 as string)) as company,
-  concat('https://www.linkedin.com/company/c', cast(o_orderkey % 50 as string), case when o_orderkey % 2 = 0 then '/' else '' end) as company_url,
+  concat('Company ', cast(o_orderkey % {_COMPANIES} as string)) as company,
+  concat('https://www.linkedin.com/company/c', cast(o_orderkey % {_COMPANIES} as string), case when o_orderkey % 2 = 0 then '/' else '' end) as company_url,
   o_orderpriority as title,
   case when o_orderkey % 7 = 0 then cast(year(o_orderdate) as string) when o_orderkey % 11 = 0 then 'sometime'
        else substr(cast(o_orderdate as string), 1, 7) end as start_date,
@@ -205,8 +209,8 @@ READS = {
     "site_pages": ("documents",),
     "detected": ("part",),
     "companies": ("supplier", "nation"),
-    "people": ("customer", "nation"),
-    "experience": ("orders",),
+    "people": ("customer", "nation", "supplier"),
+    "experience": ("orders", "supplier"),
     "candidates": ("customer", "orders"),
     "posts": ("events",),
     "drift_history": ("events",),

@@ -486,18 +486,19 @@ def match_leads(spark, sf_dir):
 
 
 @query(with_fixtures("experience", body="""select pair_id, bool_or(e.end_date is null or e.end_date = 'Present') filter (e.person_id is not null) as is_current_at_company from
-  (select c_custkey as pair_id, c_custkey as person_id, case when c_custkey % 3 > 0 then ' COMPANY ' || (c_custkey % 50) end as company_name,
+  (select c_custkey as pair_id, c_custkey as person_id, case when c_custkey % 3 > 0 then ' COMPANY ' || (c_custkey % (select cast(floor(count(*) * 0.5) as int) from supplier)) end as company_name,
   case when c_custkey % 3 < 2 then 'https://www.linkedin.com/company/c' || (c_custkey % 49) end as company_url from customer) p
   left join experience e on e.person_id = p.person_id and (lower(e.company) = lower(trim(p.company_name)) or rtrim(e.company_url, '/') = p.company_url)
   group by pair_id"""))
 def current_at_company(spark, sf_dir):
+    known = int(table(spark, sf_dir, "supplier").count() * 0.5)  # companies that roles name
     # A role that goes on is written in three ways.
     words = F.when(F.col("pos") % 2 == 0, "").otherwise(F.col("end_date"))
     roles = fixture(spark, sf_dir, "experience").withColumn("end_date", F.when(F.col("end_date") == "Present", words).otherwise(F.col("end_date")))
     key = F.col("c_custkey")
     pairs = table(spark, sf_dir, "customer").select(
         key.alias("pair_id"), key.alias("person_id"),
-        F.when(key % 3 > 0, F.concat(F.lit(" COMPANY "), (key % 50).cast("string"))).alias("company_name"),
+        F.when(key % 3 > 0, F.concat(F.lit(" COMPANY "), (key % known).cast("string"))).alias("company_name"),
         F.when(key % 3 < 2, F.concat(F.lit("https://www.linkedin.com/company/c"), (key % 49).cast("string"))).alias("company_url"),
     )
     return people.current_at_company(roles, pairs).select("pair_id", "is_current_at_company")
