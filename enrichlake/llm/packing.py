@@ -57,8 +57,8 @@ def _piece_batches(path: str, capacity: int, with_ids: bool):
         for batch in batches:
             for part, texts in common.parts(batch, "text"):
                 out: list[tuple] = []
-                for doc, text in zip(part.column(0).to_pylist(), texts, strict=True):
-                    ids = encoder.ids(text.decode()) + end
+                for doc, ids in zip(part.column(0).to_pylist(), encoder.many(texts), strict=True):
+                    ids += end
                     for k, (start, length) in enumerate(cut_lengths(len(ids) // 4, capacity)):
                         piece = ids[4 * start : 4 * (start + length)]
                         out.append((doc, k, start, length, zlib.crc32(piece), piece))

@@ -147,6 +147,33 @@ def test_ids_are_those_of_the_tokenizer(spark, whole):
         assert np.frombuffer(encoder.ids(text), np.uint32).tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_many_texts(whole, monkeypatch):
+    odd = ["", " ", "  a", "a  b\n\n c\t d", "x <|endoftext|> y", "'ll   x \x1c y\x85 z", "a\u3000b \u3000c \x85e \u200bg «h» “x”", "日本語 テスト  x", "é" * 500 + " !!!", " " * 5000 + "a", "a ", "b", " c", "x " + "日" * 70 + " y", " é", "é", ""]
+    encoder = tokens.ByteLevel(tokens.default_path())
+    want = [whole.encode(text, add_special_tokens=False).ids for text in odd]
+    for block in (1 << 20, 3):
+        monkeypatch.setattr(tokens, "BLOCK", block)
+        assert [np.frombuffer(x, np.uint32).tolist() for x in encoder.many([t.encode() for t in odd])] == want
+    assert encoder.many([]) == [] and encoder.many([b""]) == [b""]
+
+
+def test_equal_pieces_are_encoded_once_and_not_kept(monkeypatch):
+    encoder, given = tokens.ByteLevel(tokens.default_path()), []
+
+    class Counting:
+        def encode_to_numpy(self, text, **options):
+            given.append(len(text))
+            return encoding.encode_to_numpy(text, **options)
+
+        def encode_ordinary(self, text):
+            given.append(len(text))
+            return encoding.encode_ordinary(text)
+
+    encoding, encoder.encoding = encoder.encoding, Counting()
+    encoder.many([b" some words again" * 1000] * 20)
+    assert sum(given) == len(" some words again") and not encoder and not encoder.before
+
+
 def test_pieces_and_sequences(spark, whole):
     given = [(r["doc_id"], r["text"]) for r in sf(spark, "documents").collect()]
     for df, rows in ((documents(spark), TEXTS), (sf(spark, "documents"), given)):
