@@ -207,6 +207,17 @@ def _compared(words: int):
     return run
 
 
+def hopeful(apart: DataFrame, percent: int) -> DataFrame:
+    """(head, n, main, lead, c): open shingles of a head by component and lead, where all of the component's suffice.
+
+    Heads that share single shingles by chance end here, before they meet the sketch of a lead; their number grows
+    faster than the input.
+    """
+    enough_of = apart.groupBy("head", "n", "main").agg(F.count(F.lit(1)).alias("all")).where(enough(F.col("n"), F.col("n"), F.col("all"), percent))
+    by_lead = apart.groupBy("head", "n", "main", "lead").agg(F.count(F.lit(1)).alias("c"))
+    return by_lead.join(enough_of.drop("all"), ["head", "n", "main"], "left_semi")
+
+
 class Join:
     """The steps of one join; tables go to the run's scratch folder."""
 
@@ -316,7 +327,7 @@ class Join:
             if left <= 4 * heads:
                 break
             # What a group shares with all leads of a component bounds what it shares with one of its members.
-            by_lead = apart.groupBy("head", "n", "main", "lead").agg(F.count(F.lit(1)).alias("c")).join(lead, "lead").join(self.like.select("head", "n", "sketch"), ["head", "n"])
+            by_lead = hopeful(apart, self.percent).join(lead, "lead").join(self.like.select("head", "n", "sketch"), ["head", "n"])
             if tried_before is not None:  # these were not similar
                 by_lead = by_lead.join(tried_before, (F.col("head") == F.col("_a")) & (F.col("lead") == F.col("_b")), "left_anti")
             near = least_distance(F.col("n"), F.col("m"), F.col("sketch"), F.col("of_lead"))

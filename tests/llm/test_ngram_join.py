@@ -93,6 +93,13 @@ def test_links_inside_one_prefix_group(spark, monkeypatch):
     assert linked(documents(spark, rows)) == want
 
 
+def test_heads_that_share_by_chance_meet_no_lead(spark):
+    # Of 100 shingles 6 of the prefix have to be shared, of 2 one; leads of one component count together.
+    shared = [(1, 100, 9, 9)] + [(2, 100, 9, lead) for lead in (8, 9) * 3] + [(3, 2, 9, 9)] + [(4, 100, main, main) for main in range(20, 30)]
+    got = ngram_join.hopeful(spark.createDataFrame(shared, "head long, n long, main long, lead long"), 90)
+    assert {tuple(r) for r in got.select("head", "main", "lead", "c").collect()} == {(2, 9, 8, 3), (2, 9, 9, 3), (3, 9, 9, 1)}
+
+
 def test_odd_rows_and_given_documents(spark):
     assert linked(documents(spark)) == components_of(TEXTS)
     rows = [(r["doc_id"], r["text"]) for r in sf(spark, "documents").collect()]
