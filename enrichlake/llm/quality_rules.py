@@ -29,6 +29,8 @@ REPEAT_WORDS = 8
 SYMBOLS = "#*$%&|<>"
 #: Bytes of text whose words are held at once.
 PART_BYTES = 1 << 20
+#: Distinct words that a task counts before it hands them on; Spark adds the counts up.
+HELD_WORDS = 200_000
 #: Character classes: lower and upper ASCII letters, characters beyond ASCII, digits, whitespace, punctuation, the rest.
 CLASSES = 7
 SKIPPED = CLASSES  # bytes that continue a character
@@ -79,25 +81,25 @@ def _language_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     words: dict[str, Counter] = {}
     classes: dict[str, np.ndarray] = {}
 
-    def flushed() -> pa.RecordBatch:
-        rows = [(lang, w, None, n) for lang, c in words.items() for w, n in c.items()]
-        rows += [(lang, None, k, int(n)) for lang, c in classes.items() for k, n in enumerate(c)]
-        words.clear()
+    def rows(lang: str, word: pa.Array, kind: pa.Array, n: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), word, kind, n], names=["lang", "word", "class", "n"])
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        while words:  # one language after the other, each let go before the next
+            lang, c = words.popitem()
+            yield rows(lang, pa.array(list(c), pa.binary()), pa.nulls(len(c), pa.int32()), pa.array(list(c.values()), pa.int64()))
+        for lang, c in classes.items():
+            yield rows(lang, pa.nulls(CLASSES, pa.binary()), pa.array(range(CLASSES), pa.int32()), pa.array(c, pa.int64()))
         classes.clear()
-        lang, word, kind, n = zip(*rows, strict=True) if rows else ((), (), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(word, pa.binary()), pa.array(kind, pa.int32()), pa.array(n, pa.int64())],
-            names=["lang", "word", "class", "n"],
-        )
 
     for batch in batches:
         for part, texts in common.parts(batch, "text", PART_BYTES):
             for lang, text in zip(part.column(1).to_pylist(), texts, strict=True):
                 words.setdefault(lang, Counter()).update(text.lower().split())
                 classes[lang] = classes.get(lang, 0) + class_counts(text)
-            if sum(map(len, words.values())) > 400_000:
-                yield flushed()
-    yield flushed()
+            if sum(map(len, words.values())) > HELD_WORDS:
+                yield from flushed()
+    yield from flushed()
 
 
 def language_references(docs: DataFrame, limits: Limits) -> DataFrame:

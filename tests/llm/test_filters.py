@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd_rows import TEXTS, documents, nothing, sf
 
@@ -175,3 +176,20 @@ def test_perfect_hash_is_minimal(n):
     found = exact_dedup.find_slots(levels, digests[n:])
     held = digests[:n][np.argsort(slot)]
     assert not any((held[s] == d).all() for s, d in zip(found, digests[n:], strict=True) if s >= 0)
+
+
+def test_counts_of_a_language_are_handed_on_in_time(monkeypatch):
+    monkeypatch.setattr(quality_rules, "HELD_WORDS", 50)
+    monkeypatch.setattr(quality_rules, "PART_BYTES", 100)
+    rows = [(" ".join(f"W{(i * k) % 97}" for k in range(20)), ("=en", "null")[i % 2]) for i in range(200)] + [(None, "=xx")]
+    batch = pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array([x for _, x in rows])], names=["text", "lang"])
+    want, got = Counter(), Counter()
+    for text, lang in rows:
+        want.update((lang, w.encode().lower(), None) for w in (text or "").split())
+        for k, n in enumerate(quality_rules.class_counts((text or "").encode())):
+            want[lang, None, k] += int(n)
+    for part in quality_rules._language_counts([batch]):
+        assert part.num_rows <= 50 + 20
+        for lang, word, kind, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            got[lang, word, kind] += n
+    assert got == want
