@@ -228,9 +228,11 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept = decisions(docs, id_col, text_col).where("kept")
     stay = scratch.store(kept.select(*key(F.col("doc_id")), F.unhex("text_sha256").alias("_digest")).distinct(), "stay")
     text = F.col(text_col).cast("string")
+    # The join asks for keys that are not NULL; pushed below the aggregate, that would send each text to Python twice.
+    digest = F.pandas_udf(_text_digests, "binary").asNondeterministic()
     rows = docs.select(
         *key(F.col(id_col).cast("bigint")),
-        F.pandas_udf(_text_digests, "binary")(text.cast("binary")).alias("_digest"),
+        digest(text.cast("binary")).alias("_digest"),
         F.struct(F.coalesce(F.length(text), F.lit(0)), F.xxhash64(text)).alias("_best"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
     )

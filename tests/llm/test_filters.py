@@ -193,3 +193,8 @@ def test_counts_of_a_language_are_handed_on_in_time(monkeypatch):
         for lang, word, kind, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
             got[lang, word, kind] += n
     assert got == want
+
+
+def test_a_text_is_digested_once_when_rows_are_handed_on(spark):
+    plan = exact_dedup.kept_documents(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
