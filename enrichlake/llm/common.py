@@ -52,6 +52,27 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def bucketed(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """Write `df` in buckets of `key`, as many as a shuffle has parts: a join on `key` moves the other side only.
+
+        Buckets are known to the session's catalog, so the table has a name there until it is dropped.
+        """
+        writer = df.write.bucketBy(slices(self.spark), key).option("path", self.path(name))
+        writer.saveAsTable(self._named(name))
+        return self.spark.table(self._named(name))
+
+    def _named(self, name: str) -> str:
+        return "".join(c if c.isalnum() else "_" for c in f"{os.path.basename(self.folder)}_{name}")
+
+    def drop(self, *names: str) -> None:
+        """Delete tables of this run that no later step reads; without names all of them."""
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._named(name)}")
+        for folder in map(self.path, names) if names else [self.folder]:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -197,13 +197,13 @@ def group_documents(rows: DataFrame, scratch: common.Scratch, history: DataFrame
     return untouched.unionByName(looked.drop("member"))
 
 
-def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scratch: common.Scratch | None = None) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256.
 
     The rows are taken as two deliveries, dealt by a hash of the id: the first is the
     history that is indexed, the second is looked up. The result does not depend on how rows are dealt.
     """
-    scratch = common.Scratch(docs.sparkSession, "exact-dedup")
+    scratch = scratch or common.Scratch(docs.sparkSession, "exact-dedup")
     rows = scratch.store(digested(docs, id_col, text_col), "digests")
     earlier = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
     groups = scratch.store(group_documents(rows.where(~earlier), scratch, rows.where(earlier)), "groups")
@@ -225,8 +225,10 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row of each group of equal texts, with the columns of `docs` as they are."""
     scratch = common.Scratch(docs.sparkSession, "exact-dedup-kept")
     key = lambda c: (c.isNull().alias("_none"), F.coalesce(c, F.lit(0)).alias("_id"))
-    kept = decisions(docs, id_col, text_col).where("kept")
+    steps = common.Scratch(docs.sparkSession, "exact-dedup")
+    kept = decisions(docs, id_col, text_col, steps).where("kept")
     stay = scratch.store(kept.select(*key(F.col("doc_id")), F.unhex("text_sha256").alias("_digest")).distinct(), "stay")
+    steps.drop()
     text = F.col(text_col).cast("string")
     # The join asks for keys that are not NULL; pushed below the aggregate, that would send each text to Python twice.
     digest = F.pandas_udf(_text_digests, "binary").asNondeterministic()

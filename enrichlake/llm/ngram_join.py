@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ PERCENT = 90
 COUNTERS, CHUNKS = 1 << 21, 64
 #: Rounds go on while at least one in so many comparisons links two components.
 LEAST_GAIN = 100
+#: The index is built in so many parts of the shingles: the shuffles of one part are on disk at a time.
+INDEX_PARTS = 4
 #: Bits of a parity sketch, and bytes of sets that a worker keeps while it compares.
 SKETCH_BITS = 512
 KEPT_BYTES = 32 << 20
@@ -219,7 +222,7 @@ def hopeful(apart: DataFrame, percent: int) -> DataFrame:
 
 
 class Join:
-    """The steps of one join; tables go to the run's scratch folder."""
+    """The steps of one join; tables go to the run's scratch folder and are dropped when no later step reads them."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int):
         self.scratch = common.Scratch(docs.sparkSession, "ngram-join")
@@ -231,7 +234,10 @@ class Join:
     def compare(self, pairs: DataFrame) -> DataFrame:
         """(a, b, inter, both, distance, linked) for pairs (a, b) of nodes."""
         self.compared += 1
-        texts = self.texts
+        pairs = self.scratch.store(pairs, f"pairs-{self.compared}")
+        # Only texts that are compared now are moved, each once; a node of very many pairs is split by Spark in the joins behind.
+        now = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        texts = self.scratch.store(self.texts.join(now, "node", "left_semi"), f"texts-{self.compared}")
         joined = (
             pairs.join(texts.select(F.col("node").alias("a"), F.col("packed").alias("left")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("packed").alias("right")), "b")
@@ -239,6 +245,7 @@ class Join:
         )
         found = joined.mapInArrow(_compared(self.words), "a bigint, b bigint, inter bigint, both bigint")
         found = self.scratch.store(found, f"compared-{self.compared}")
+        self.scratch.drop(f"pairs-{self.compared}", f"texts-{self.compared}")
         union = F.col("both") - F.col("inter")
         found = found.withColumns({"distance": 1 - F.col("inter") / union, "linked": 100 * F.col("inter") >= self.percent * union})
         self.links.append(found.where("linked").select("a", "b"))
@@ -253,8 +260,9 @@ class Join:
     def prepare(self) -> None:
         frequency = frequencies(self.plain, self.words)
         kind = "doc_id bigint, n bigint, sig binary, pkey binary, prefix array<bigint>, sketch array<bigint>"
-        self.rows = self.scratch.store(self.plain.mapInArrow(_prefixed(frequency, self.words, self.percent), kind), "rows")
-        named = self.rows.where("n > 0 AND doc_id IS NOT NULL")
+        rows = self.scratch.store(self.plain.mapInArrow(_prefixed(frequency, self.words, self.percent), kind), "rows")
+        self.rows = self.scratch.store(rows.select("doc_id", "n", "sig"), "sets")
+        named = rows.where("n > 0 AND doc_id IS NOT NULL")
         first = F.min(F.struct("doc_id", "pkey", "n", "sketch")).alias("f")
         nodes = named.groupBy("sig").agg(first).select("sig", F.col("f.doc_id").alias("node"), "f.pkey", "f.n", "f.sketch")
         self.nodes = self.scratch.store(nodes, "nodes")
@@ -263,10 +271,14 @@ class Join:
         # The index: a row for each prefix shingle of each group, if another group has it too.
         heads = self.groups.join(self.nodes.select("node", "pkey", "n"), "pkey").where("node = head").select("head", "n")
         whole = named.select(F.col("doc_id").alias("head"), "n", "prefix").join(heads, ["head", "n"], "left_semi")
-        self.whole = whole
-        prefixes = whole.select("head", "n", F.explode("prefix").alias("token"))
-        shared = prefixes.groupBy("token").agg(F.min("head").alias("lo"), F.max("head").alias("hi")).where("lo < hi")
-        self.index = self.scratch.store(prefixes.join(shared.select("token"), "token", "left_semi"), "index")
+        self.whole = self.scratch.store(whole, "whole")
+        self.scratch.drop("rows")
+        parts = []
+        for i in range(INDEX_PARTS):
+            prefixes = self.whole.select("head", "n", F.explode("prefix").alias("token")).where(F.pmod("token", F.lit(INDEX_PARTS)) == i)
+            shared = prefixes.groupBy("token").agg(F.min("head").alias("lo"), F.max("head").alias("hi")).where("lo < hi")
+            parts.append(self.scratch.store(prefixes.join(shared.select("token"), "token", "left_semi"), f"index-{i}"))
+        self.index = reduce(DataFrame.unionByName, parts)
         wanted = (
             self.index.select(F.col("head").alias("node"))
             .unionByName(self.groups.where("members > 1").join(self.nodes, "pkey").select("node"))
@@ -274,7 +286,7 @@ class Join:
         )
         # Texts that are compared at all, kept compressed: every later join moves these only.
         near = self.plain.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-        self.texts = self.scratch.store(near.mapInArrow(_compressed, "node bigint, packed binary"), "texts")
+        self.texts = self.scratch.bucketed(near.mapInArrow(_compressed, "node bigint, packed binary"), "texts", "node")
 
     def members(self) -> None:
         """Compare members with the head of their group; those that are not similar to it head a group of their own."""
@@ -294,6 +306,7 @@ class Join:
         held = rows.groupBy("token").agg(F.count(F.lit(1)).alias("holders"))
         fame = rows.join(held, "token").groupBy("head").agg(F.sum("holders").alias("fame"))
         self.index = self.scratch.store(rows.join(fame, "head"), "index-fame")
+        self.scratch.drop("whole", "index-all", *(f"index-{i}" for i in range(INDEX_PARTS)))
         # What a head's node is like: an id may have several texts, and so several sketches and sizes.
         reach = self.inside.where("node <> head").groupBy("head").agg(F.max("reach").alias("reach"))
         self.like = self.scratch.store(
@@ -312,7 +325,9 @@ class Join:
             .where("parts > 1")
             .select("token", F.col("top.component").alias("main"), (-F.col("top.known.minus")).alias("lead"), "total")
         )
-        return self.scratch.store(rows.drop("fame").join(tokens, "token"), f"{name}-open")
+        open_ = self.scratch.store(rows.drop("fame").join(tokens, "token"), f"{name}-open")
+        self.scratch.drop(f"{name}-rows")
+        return open_
 
     def rounds(self) -> DataFrame:
         """Compare each group with the head that shares most of its prefix, until few pairs are left to compare."""
@@ -346,6 +361,7 @@ class Join:
             tried, gained = found.agg(F.count(F.lit(1)), F.count_if("linked")).first()
             if not gained:
                 break
+            self.scratch.drop(f"round-{step}-open")
             labels, step = self.current(f"labels-{step + 1}"), step + 1
             if gained * LEAST_GAIN < tried:
                 open_ = self.open_tokens(labels, f"round-{step}")
@@ -359,6 +375,7 @@ class Join:
         # members either.
         most = open_.groupBy("head").agg(F.countDistinct("token").alias("k"))
         open_ = self.scratch.store(open_.join(most, "head").join(self.like, ["head", "n"]), "open")
+        self.scratch.drop("index-fame")
         limit = 1 - self.percent / 100 + 1e-9
         few = open_.where("component <> main").select(
             "token", F.col("head").alias("x"), F.col("n").alias("nx"), F.col("k").alias("kx"), F.col("component").alias("cx"),
@@ -381,6 +398,7 @@ class Join:
             .distinct()
         )
         found = self.compare(pairs)
+        self.scratch.drop("open")
         # Members lie within `reach` of their head; two of them are similar only if the heads are that near.
         reach = self.inside.where("node <> head").groupBy("head").agg(F.max("reach").alias("reach"))
         side = lambda c: reach.select(F.col("head").alias(c), F.col("reach").alias(f"r{c}"))
@@ -402,6 +420,7 @@ class Join:
         fits = (F.col("rx") + F.col("ry") > 0) & (F.col("distance") <= limit + F.col("rx") + F.col("ry"))
         pairs = near.join(x, "a").join(y, "b").where(fits & (least_distance(F.col("nx"), F.col("ny"), F.col("sx"), F.col("sy")) <= limit))
         self.compare(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+        self.scratch.drop("texts")
 
     def run(self) -> DataFrame:
         self.prepare()
@@ -421,8 +440,10 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words:
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The document of smallest id of each component, with the columns of `docs` as they are."""
-    stay = link(docs, id_col, text_col, words, percent).where("component_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
+    join = Join(docs, id_col, text_col, words, percent)
+    stay = join.run().where("component_id IS NULL OR doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
     stay = common.Scratch(docs.sparkSession, "ngram-kept").store(stay, "stay")
+    join.scratch.drop()
     return docs.join(stay, docs[id_col].cast("bigint").eqNullSafe(F.col("_stays")), "left_semi")
 
 

@@ -102,7 +102,7 @@ def _language_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield from flushed()
 
 
-def language_references(docs: DataFrame, limits: Limits) -> DataFrame:
+def language_references(docs: DataFrame, limits: Limits, scratch: common.Scratch) -> DataFrame:
     """(ref_lang, reference) per language with enough text; `docs` has text and lang, a key that is never NULL.
 
     A reference is packed by `_packed`: common words, their counts and that of all other words, counts of classes.
@@ -113,7 +113,7 @@ def language_references(docs: DataFrame, limits: Limits) -> DataFrame:
         .groupBy("lang", "word", "class")
         .agg(F.sum("n").alias("n"))
     )
-    counted = common.Scratch(docs.sparkSession, "language-counts").store(counted, "counts")
+    counted = scratch.store(counted, "counts")
     words = counted.where("word IS NOT NULL")
     # A language's top words; Spark cuts each task to that many before it moves rows.
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
@@ -243,7 +243,8 @@ def _with_reference(docs: DataFrame, text_col: str, lang_col: str, limits: Limit
     key = F.when(lang.isNull(), "null").otherwise(F.concat(F.lit("="), lang))
     text = F.col(f"`{text_col}`").cast("string")
     scratch = common.Scratch(docs.sparkSession, "quality-rules")
-    references = scratch.store(language_references(docs.select(text.alias("text"), key.alias("lang")), limits), "references")
+    references = scratch.store(language_references(docs.select(text.alias("text"), key.alias("lang")), limits, scratch), "references")
+    scratch.drop("counts")
     with_key = docs.withColumns({"_text": text, "_key": key})
     return with_key.join(references.withColumnRenamed("reference", "_reference"), F.col("_key") == F.col("ref_lang"), "left").drop("_key", "ref_lang")
 

@@ -5,8 +5,9 @@ import random
 import numpy as np
 import pytest
 from odd_rows import TEXTS, documents, nothing, sf
+from pyspark.sql import functions as F
 
-from enrichlake.llm import common, ngram_join
+from enrichlake.llm import common, exact_dedup, ngram_join, quality_rules
 from enrichlake.llm import components as components_module
 from enrichlake.llm.components import components
 
@@ -100,6 +101,38 @@ def test_heads_that_share_by_chance_meet_no_lead(spark):
     assert {tuple(r) for r in got.select("head", "main", "lead", "c").collect()} == {(2, 9, 8, 3), (2, 9, 9, 3), (3, 9, 9, 1)}
 
 
+def test_only_compared_texts_are_moved(spark, monkeypatch):
+    docs = documents(spark, [(i, f"a b c d {i % 4}", "en", "s") for i in range(100)])
+    join = ngram_join.Join(docs, "doc_id", "text", 3, 90)
+    join.texts = join.scratch.bucketed(docs.select("doc_id", "text").mapInArrow(ngram_join._compressed, "node bigint, packed binary"), "texts", "node")
+    kept, moved = common.Scratch.store, {}
+    monkeypatch.setattr(common.Scratch, "store", lambda self, df, name: moved.setdefault(name, (kept(self, df, name).cache(), df))[0])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = join.compare(spark.createDataFrame([(4, 0), (8, 0), (5, 0)], "a long, b long"))
+        assert {tuple(r) for r in found.select("a", "b", "inter", "linked").collect()} == {(4, 0, 3, True), (8, 0, 3, True), (5, 0, 2, False)}
+        texts, df = moved["texts-1"]
+        assert sorted(r["node"] for r in texts.collect()) == [0, 4, 5, 8]
+        # Buckets stay where they are: the only exchange is that of the ids.
+        df.collect()
+        assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_steps_leave_no_tables_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common.Scratch, "__init__", lambda self, spark, label: self.__dict__.update(spark=spark, folder=f"{tmp_path}/{label}"))
+    docs, tables = documents(spark, family_rows()), spark.catalog.listTables()
+    kept = ngram_join.kept_documents(docs, words=5, percent=80)
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["ngram-kept"]
+    assert spark.catalog.listTables() == tables
+    assert {r["doc_id"] for r in kept.collect()} == {i for i, _, c in components_of(family_rows(), 5, 80) if i == c}
+    exact_dedup.kept_documents(docs)
+    assert sorted(x.name for x in tmp_path.iterdir()) == ["exact-dedup-kept", "ngram-kept"]
+    quality_rules.kept_documents(docs)
+    assert [x.name for x in (tmp_path / "quality-rules").iterdir() if x.is_dir()] == ["references"]
+
+
 def test_odd_rows_and_given_documents(spark):
     assert linked(documents(spark)) == components_of(TEXTS)
     rows = [(r["doc_id"], r["text"]) for r in sf(spark, "documents").collect()]
