@@ -1,6 +1,7 @@
 """Failing field jobs, kept history, kept resolution, many profiles, dictionary tables."""
 
 import random
+import re
 from itertools import product
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from enrichlake.operators import entities, icp, icp_many, page_fields, resolve
 from enrichlake.operators.drift import drift_flags
-from enrichlake.operators.page_structure import dictionary_match, dictionary_match_table
+from enrichlake.operators.page_structure import _alias_grams, _text_grams, dictionary_match, dictionary_match_table
 from enrichlake.plans import history as history_module
 from enrichlake.plans import pages as plan
 from enrichlake.plans import resolution as resolution_module
@@ -295,6 +296,24 @@ def test_dictionary_table_equals_the_compiled_catalog(spark):
     assert dictionary_match_table(docs.limit(0), table, "id", "txt").count() == dictionary_match_table(docs, table.limit(0), "id", "txt").count() == 0
 
 
+def test_aliases_meet_texts_on_neighbouring_words(spark):
+    """Common words that stand apart in a text must not make it a candidate."""
+    words = lambda text, grams: set(spark.range(1).select(grams(F.lit(text)).alias("g")).first()["g"])
+    text = words("the red of the blue", _text_grams)
+    assert not words("the of", _alias_grams) & text and not words("red blue", _alias_grams) & text
+    assert words("of the", _alias_grams) <= text and words("blue", _alias_grams) <= text and len(words("the red of", _alias_grams)) == 2
+
+
+def test_dictionary_table_keeps_word_boundaries(spark):
+    texts = ["a.net core", "x .net core", "c++ builder", "cc++ builder", "node\u0001.js", "a\u0001b", "node.js", "node\u0001.net core", "red, blue", "red\n blue red blue", "été red"]
+    aliases = [(1, "A", None, ".net core"), (2, "B", "k", "c++ builder"), (3, "C", "k", "node"), (4, "D", "k", "a\u0001b"), (5, "E", "k", "red  Blue"), (5, "E", "k", "red"), (6, "F", "k", "t"), (6, "F", "k", "tÉ")]
+    docs, table = spark.createDataFrame([*enumerate(texts)], "id long, txt string"), spark.createDataFrame(aliases, "ord long, code string, category string, alias string")
+    got = dictionary_match_table(docs, table, "id", "txt").collect()
+    plain = [re.sub(r"\s+", " ", x.lower()) for x in texts]
+    expected = {(i, o, c, k) for i, x in enumerate(plain) for o, c, k, a in aliases if re.search(rf"\b{re.escape(re.sub(r'\s+', ' ', a.lower()))}\b", x)}
+    assert len(got) == len(expected) and set(map(tuple, got)) == expected
+
+
 # --- S4 -----------------------------------------------------------------------------
 @pytest.mark.parametrize("quoted_breaks", [True, False])
 def test_spine_with_line_breaks_in_cells(spark, tmp_path, quoted_breaks):
