@@ -1,69 +1,92 @@
 """Q10 while observations arrive: drift in the order of events, whatever the order of arrival.
 
-State per field is small: the emptiness of the last `window - 1` observations, and those that wait for the watermark. What
-the watermark has passed is complete, is put in order of (ts, seq) and tested like in a batch. An observation that comes
-later than the watermark allows can no longer stand in its place; Spark leaves it out and counts it, see
-:func:`late_rows`. Times lie after 1970,
-where watermarks begin, and before 2262. The order within a field is sequential, so a stream has at most as many busy tasks as fields; a
-backlog is better given to the batch job (`plans.history`).
+What the watermark has passed is complete, is put in order of (ts, seq) and tested like in a batch. Nothing of that is
+held in memory: each micro-batch keeps tables below the checkpoint, in folders of its own, and reads those of the one
+before it.
+
+    drift/arrived/batch=<id>   the observations of the micro-batch
+    drift/waiting/batch=<id>   those that wait for the watermark after it
+    drift/tails/batch=<id>     the last `window - 1` observations of every key after it
+    drift/mark/batch=<id>      the watermark after it, written last
+
+So a field's backlog is worked on by all tasks, and a micro-batch that is run again replaces its own folders. An
+observation that comes later than the watermark allows can no longer stand in its place; it is left out and counted, see
+:func:`late_rows`. Observations without a time come before all others and never wait. Times lie before 2262.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import catalogs as cat
+from ..plans.history import ROW, TAIL, tested
 
-STATE = "tail array<boolean>, ts array<bigint>, seq array<bigint>, is_empty array<boolean>"
 FLAGS = "field string, ts timestamp, seq bigint, is_empty boolean, previous bigint, previous_empty bigint, drifting boolean"
+MARK = "passed bigint"
 #: An observation without a field and so late that it ends all waiting; it gives no flag.
 CLOSING = "2261-12-31"
 
 
-def _tested(window: int, min_history: int):
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tail, *held = state.get if state.exists else ([], [], [], [])
-        tail, waiting = list(tail), [tuple(x) for x in zip(*held, strict=True)]
-        for batch in batches:
-            waiting += zip((int(x.value // 1000) for x in batch["ts"]), batch["seq"].tolist(), batch["is_empty"].tolist(), strict=True)
-        passed = state.getCurrentWatermarkMs() * 1000
-        ready = sorted((x for x in waiting if x[0] < passed), key=lambda x: x[:2])
-        waiting = [x for x in waiting if x[0] >= passed]
-        out = []
-        for ts, seq, empty in ready:
-            n, k = len(tail), sum(map(bool, tail))
-            # The same whole numbers as in the batch job.
-            out.append((key[0], pd.Timestamp(ts, unit="us"), seq, empty, n, k, bool(empty) and n >= min_history and (n - k) * (n - 1) > 4 * k * n))
-            tail = [*tail, empty][-(window - 1) :]
-        state.update((tail, *(list(c) for c in zip(*waiting, strict=True))) if waiting else (tail, [], [], []))
-        if waiting:
-            state.setTimeoutTimestamp(max(min(x[0] for x in waiting) // 1000 + 1, passed // 1000 + 1))
-        names = ["field", "ts", "seq", "is_empty", "previous", "previous_empty", "drifting"]
-        yield pd.DataFrame(out, columns=names).astype({"field": object, "is_empty": object})
-
-    return run
-
-
-def stream_flags(observations: DataFrame, delay: str, window: int = cat.DRIFT_WINDOW, min_history: int = cat.DRIFT_MIN_HISTORY) -> DataFrame:
-    """Drift flags of a stream of (field, ts, seq, is_empty); rows may come up to `delay` behind the newest one."""
+def _advance(batch: DataFrame, batch_id: int, out: str, kept: str, delay: str, window: int) -> int:
+    """Take a micro-batch in, write the flags of what the watermark has passed since; the number of late rows."""
+    spark = batch.sparkSession
+
+    def folder(name: str, n: int) -> str:
+        return f"{kept}/{name}/batch={n}"
+
+    def before(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(folder(name, batch_id - 1)) if batch_id else spark.createDataFrame([], schema)
+
+    def stored(df: DataFrame, name: str, schema: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(folder(name, batch_id))
+        return spark.read.schema(schema).parquet(folder(name, batch_id))
+
+    mark = before("mark", MARK).first()
+    passed = mark["passed"] if mark else None  # milliseconds; NULL before the first time
+    wait = spark.sql(f"select unix_millis(timestamp_millis(0) + interval {delay})").first()[0]
+    micros = F.unix_micros("ts")
+
+    def earlier(than: int | None):
+        """Rows before a time; those without one are neither earlier nor later."""
+        return micros < F.lit(than).cast("bigint") * 1000
+
+    arrived = stored(batch, "arrived", ROW)
+    newest, late = arrived.agg(F.max(F.unix_millis("ts")), F.count(F.when(earlier(passed), 1))).first()
+    known = [x for x in (passed, None if newest is None else newest - wait) if x is not None]
+    now = max(known, default=None)
+    rows = before("waiting", ROW).unionByName(arrived.where(~F.coalesce(earlier(passed), F.lit(False))))
+    complete = F.col("ts").isNull() | F.coalesce(earlier(now), F.lit(False))
+    stored(rows.where(~complete), "waiting", ROW)
+    ready, tails = rows.where(complete), before("tails", TAIL)
+    flags = spark.createDataFrame([], FLAGS)
+    if not ready.isEmpty():
+        flags, tails = tested(ready, tails, window)
+    flags.where(F.col("seq").isNotNull() & ((F.col("field") != "") | F.col("field").isNull())).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    stored(tails, "tails", TAIL)
+    stored(spark.createDataFrame([(now,)], MARK).coalesce(1), "mark", MARK)
+    for name in ("arrived", "waiting", "tails", "mark"):  # no micro-batch from here on reads them
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder(name, batch_id - 2))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return late
+
+
+def drift_stream(observations: DataFrame, out: str, checkpoint: str, delay: str, trigger: dict | None = None, window: int = cat.DRIFT_WINDOW) -> StreamingQuery:
+    """Write the flags of a stream of (field, ts, seq, is_empty) to `out` as Parquet, one folder per micro-batch.
+
+    Rows may come up to `delay` behind the newest one of the micro-batches before.
+    """
     rows = observations.select("field", F.col("ts").cast("timestamp").alias("ts"), F.col("seq").cast("bigint").alias("seq"), "is_empty")
-    tested = rows.withWatermark("ts", delay).groupBy("field").applyInPandasWithState(
-        _tested(window, min_history), FLAGS, STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return tested.where(F.col("seq").isNotNull() & ((F.col("field") != "") | F.col("field").isNull()))
+    late: dict[int, int] = {}
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        late[batch_id] = _advance(batch, batch_id, out.rstrip("/"), f"{checkpoint.rstrip('/')}/drift", delay, window)
 
-def drift_stream(observations: DataFrame, out: str, checkpoint: str, delay: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append the flags of a stream to `out` as Parquet."""
-    writer = stream_flags(observations, delay).writeStream.format("parquet").outputMode("append")
-    writer = writer.option("path", out).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    query = writer.trigger(**(trigger or {"availableNow": True})).start()
+    query.late_by_batch = late
+    return query
 
 
 def closing_row(observations: DataFrame) -> DataFrame:
@@ -74,5 +97,5 @@ def closing_row(observations: DataFrame) -> DataFrame:
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Observations that came too late, over the batches whose progress the query still keeps."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    """Observations that came too late, over the micro-batches that this query has run."""
+    return sum(query.late_by_batch.values())

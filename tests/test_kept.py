@@ -1,5 +1,6 @@
 """Failing field jobs, kept history, kept resolution, many profiles, dictionary tables."""
 
+import os
 import random
 import re
 from itertools import product
@@ -433,3 +434,13 @@ def test_late_observations_are_counted(spark, tmp_path):
     kept = [*rows, ("a", 1099, 1000, True)]
     tmp_path = other
     assert flags_of(spark.read.parquet(f"{tmp_path}/out")) == flags_of(drift_flags(observed(spark, kept)))
+
+
+def test_waiting_observations_lie_in_tables(spark, tmp_path):
+    """A field's backlog is neither a state in memory nor one task; its folders are replaced as the stream goes on."""
+    rows = [("a", 1000 + i, i, i % 7 == 0) for i in range(60)] + [("a", None, 900 + i, True) for i in range(3)]
+    assert sum(streamed(spark, tmp_path, [rows[:30], rows[30:]], "1000 seconds")) == 0
+    assert not os.path.exists(f"{tmp_path}/ck/state")
+    assert len(os.listdir(f"{tmp_path}/ck/drift/waiting")) == 2
+    # Rows without a time come first and wait for nothing.
+    assert flags_of(spark.read.parquet(f"{tmp_path}/out")) == flags_of(drift_flags(observed(spark, rows)))
