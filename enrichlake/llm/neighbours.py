@@ -8,8 +8,11 @@ k-th verified distance is no larger than the radius, as the threshold is chosen
 misses it with probability `miss` at most. Once k vectors are verified, the next radius is the k-th distance itself.
 
 Blocks and queries are dealt by hash: each block meets each part of the queries in a task of its own, and leaves at most
-k rows per query. Directions and threshold depend on the dimension and a seed only; nothing is fitted to the data, and
-every vector is indexed. A sample of random directions, of fixed size, measures how many collisions a distance gives.
+k rows per query. Vectors are moved, not index blocks: the task that searches a block sorts its projections first, which
+takes far less time than the search. So no row is larger than a vector, and a block is copied only as often as its
+queries do not fit one task, or as blocks alone are too few for the cores. Directions and threshold depend on the
+dimension and a seed only; nothing is fitted to the data, and every vector is indexed. A sample of random directions, of
+fixed size, measures how many collisions a distance gives.
 
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite components take no part. Vectors of
 different dimensions are not compared. Rows without an id are no queries but can be neighbours; of equal distances the
@@ -105,42 +108,29 @@ class Block:
             radius = min(2 * radius, kth)
 
 
-def _indexed(table: pa.Table) -> pa.Table:
-    """One row for a block: rows, ids, vectors, and per direction the order and the sorted projections."""
-    vectors = np.asarray(table.column("vector").combine_chunks().flatten(), np.float64).reshape(len(table), -1)
+def _matrix(table: pa.Table) -> np.ndarray:
+    return np.asarray(table.column("vector").combine_chunks().flatten(), np.float64).reshape(len(table), -1)
+
+
+def _indexed(vectors: np.ndarray) -> Block:
+    """The vectors with, per direction, the order and the sorted projections."""
     projected = (vectors @ directions(vectors.shape[1])).T
-    order = np.argsort(projected, axis=1, kind="stable").astype(np.int32)
-    values = np.take_along_axis(projected, order, axis=1)
-    whole = pa.array([0, len(table)], pa.int32())
-    return pa.table(
-        {
-            "dim": table.column("dim").slice(0, 1),
-            "block": table.column("block").slice(0, 1),
-            "rows": pa.ListArray.from_arrays(whole, table.column("row").combine_chunks()),
-            "ids": pa.ListArray.from_arrays(whole, table.column("id").combine_chunks()),
-            "vectors": pa.array([vectors.tobytes()], pa.binary()),
-            "orders": pa.array([order.tobytes()], pa.binary()),
-            "projections": pa.array([values.tobytes()], pa.binary()),
-        }
-    )
+    order = np.argsort(projected, axis=1, kind="stable")
+    return Block(vectors, order, np.take_along_axis(projected, order, axis=1))
 
 
-INDEX_DDL = "dim int, block bigint, rows array<bigint>, ids array<bigint>, vectors binary, orders binary, projections binary"
 FOUND_DDL = "query_row bigint, query_id bigint, vec_id bigint, score double"
 
 
 def _searched(k: int):
-    def run(key: tuple, index: pa.Table, queries: pa.Table) -> pa.Table:
+    def run(key: tuple, held: pa.Table, queries: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_row": [], "query_id": [], "vec_id": [], "score": []}
-        if len(index) and len(queries):
-            ids = index.column("ids").combine_chunks().values
+        if len(held) and len(queries):
+            ids = held.column("id").combine_chunks()
             tie = np.asarray(pa.compute.fill_null(ids, 0)), np.asarray(pa.compute.is_null(ids))
-            rows = np.asarray(index.column("rows").combine_chunks().values)
+            rows = np.asarray(held.column("row").combine_chunks())
             place = {int(r): i for i, r in enumerate(rows.tolist())} if len(queries) > 8 else None
-            dim, n = index.column("dim")[0].as_py(), len(rows)
-            given = {c: np.frombuffer(index.column(c)[0].as_buffer(), t) for c, t in (("vectors", np.float64), ("orders", np.int32), ("projections", np.float64))}
-            block = Block(given["vectors"].reshape(n, dim), given["orders"].reshape(-1, n).astype(np.int64), given["projections"].reshape(-1, n))
-            wanted = np.asarray(queries.column("vector").combine_chunks().flatten(), np.float64).reshape(len(queries), dim)
+            block, wanted = _indexed(_matrix(held)), _matrix(queries)
             for q, query_id, vector in zip(queries.column("row").to_pylist(), queries.column("id").to_pylist(), wanted, strict=True):
                 own = place.get(q, -1) if place is not None else int(next(iter(np.flatnonzero(rows == q)), -1))
                 at, distance = block.nearest(vector, k, own)
@@ -159,6 +149,11 @@ def _valid(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0)
 
 
+def _parts(n_queries: int, blocks: int, slices: int) -> int:
+    """Parts of the queries: so many that one fits a task, and more while blocks are fewer than tasks can run at once."""
+    return max(1, -(-n_queries // PART_QUERIES), min(-(-slices // blocks), n_queries // LEAST_QUERIES))
+
+
 def nearest(vectors: DataFrame, query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = NEIGHBOURS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found for each row that fulfils `query`, a condition on `id`."""
     given = F.col(f"`{vector_col}`")
@@ -171,10 +166,11 @@ def nearest(vectors: DataFrame, query: Column, id_col: str = "vec_id", vector_co
     size = F.sum(8 * (F.col("dim").cast("bigint") + 2 * DIRECTIONS))
     n_bytes, n_queries = rows.agg(F.coalesce(size, F.lit(0)), F.count(F.when(query, 1))).first()
     blocks = max(1, -(-n_bytes // BLOCK_BYTES))
-    parts = max(1, -(-n_queries // PART_QUERIES), min(common.slices(vectors.sparkSession), n_queries // LEAST_QUERIES))
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
-    index = scratch.store(dealt.groupBy("dim", "block").applyInArrow(_indexed, INDEX_DDL), "index")
-    left = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    parts = _parts(n_queries, blocks, common.slices(vectors.sparkSession))
+    left = (
+        rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
+        .select("dim", "block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "row", "id", "vector")
+    )
     right = (
         rows.where(query).withColumn("part", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(parts)).cast("int"))
         .select(F.col("dim").alias("q_dim"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("q_block"), F.col("part").alias("q_part"), "row", "id", "vector")

@@ -91,3 +91,8 @@ def test_no_rows(spark):
     assert found(spark, [(100, [0.0])]) == []
     assert found(spark, [(100, [1.0])]) == []
     assert found(spark, [(1, [1.0]), (2, [1.0])]) == []
+
+
+def test_blocks_are_copied_only_as_often_as_needed():
+    assert neighbours._parts(150_000, 720, 600) == 10 and neighbours._parts(1_000, 720, 600) == 1
+    assert neighbours._parts(0, 1, 12) == 1 and neighbours._parts(500, 3, 12) == 4 and neighbours._parts(10_000, 1, 12) == 12
